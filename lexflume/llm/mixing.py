@@ -39,8 +39,8 @@ def ranked(sources: DataFrame) -> DataFrame:
     """
     order = [F.col("source").isNull(), F.col("source")]
     parts = kept(sources.repartitionByRange(32, *order).withColumn("_part", F.spark_partition_id()))
-    n = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
-    before = n.alias("a").join(n.alias("b"), F.expr("b._part < a._part"), "left").groupBy("a._part").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over a row per partition
+    before = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     w = Window.partitionBy("_part").orderBy(*order)
     return parts.join(F.broadcast(before), "_part").withColumn("rank", F.col("before") + F.row_number().over(w) - 1).drop("_part", "before")
 
