@@ -31,7 +31,7 @@ from lexflume.llm.elias_fano import EliasFano
 
 FOLDS, HELD = 7, 2
 SHARE, DISCOUNT = 5e-6, 0.75
-CHUNK_BYTES, CHUNK_DOCS = 12_000_000, 8192
+CHUNK_BYTES, CHUNK_DOCS = 8_000_000, 8192
 STEPS = 65535
 
 
