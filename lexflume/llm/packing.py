@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from lexflume.llm.common import kept, table
 
 SIZE, OPEN, END = 2048, 256, 1
-#: Partitions whose leftovers are merged together: at most MERGED * OPEN windows, 64 MB of ids.
-MERGED = 32
+#: Partitions whose leftovers are merged together: at most MERGED * OPEN windows, 8 MB of ids.
+MERGED = 4
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
