@@ -127,7 +127,7 @@ def _pack(path: str, encoder, size: int, most: int):
 
 
 def _merge(size: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """The leftovers of a group of partitions, in their order, cut into full windows and an end of powers of two."""
         rows = rows.sort_values(["part", "window", "offset"], kind="stable")
         left = int(rows["length"].sum())
