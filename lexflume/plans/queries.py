@@ -294,3 +294,85 @@ def t6_rank_error(t):
     w = Window.partitionBy("kind").orderBy("v", "event_id")
     side = lambda k: t("events").where(F.col("event_type") == k).select(F.col("user_id").alias("kind"), F.col("value").alias("v"), "event_id").withColumn("r", F.row_number().over(w)).drop("event_id")
     return side("click").join(side("view").withColumnRenamed("v", "u"), ["kind", "r"]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.abs(F.col("v") - F.col("u"))), 4).alias("mae"))
+
+
+@query("""select l_orderkey, l_linenumber, least(2, floor((l_quantity * 10 + 30) / 600.0 * 3))::bigint as col, round(l_discount * 2.5 + 7, 6) as value,
+least(1.0, greatest(0.0, (l_quantity - 10) / 30.0))::double as scaled from lineitem""")
+def g12_g27_v6_geometry(t):
+    li = t("lineitem")
+    scaled = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("l_quantity") - 10) / 30.0))
+    return li.select("l_orderkey", "l_linenumber", F.least(F.lit(2), F.floor((F.col("l_quantity") * 10 + 30) / 600.0 * 3)).cast("long").alias("col"), F.round(F.col("l_discount") * 2.5 + 7, 6).alias("value"), scaled.cast("double").alias("scaled"))
+
+
+_SPANS = "select l_orderkey as line, l_linenumber as span, (6 + l_quantity % 5)::double as size, (l_partkey % 8)::double as baseline from lineitem"
+
+
+@query(f"""with s as ({_SPANS}), m as (select line, list_sort(list(size))[count(*) // 2 + 1] med, list_sort(list(baseline))[count(*) // 2 + 1] base from s group by line)
+select s.line, span, case when size <= 0.85 * med and base - baseline >= 0.15 * med then 'super' when size <= 0.85 * med and baseline - base >= 0.15 * med then 'sub' else 'body' end as role from s join m using (line)""")
+def g15_span_roles(t):
+    s = t("lineitem").selectExpr("l_orderkey line", "l_linenumber span", "cast(6 + l_quantity % 5 as double) size", "cast(l_partkey % 8 as double) baseline")
+    # the upper median of a line's spans: lines are short, so their spans may be gathered
+    mid = lambda c: F.element_at(F.array_sort(F.collect_list(c)), F.expr("cast(count(1) div 2 + 1 as int)"))
+    m = s.groupBy("line").agg(mid("size").alias("med"), mid("baseline").alias("base"))
+    small, off = F.col("size") <= 0.85 * F.col("med"), F.col("base") - F.col("baseline")
+    role = F.when(small & (off >= 0.15 * F.col("med")), "super").when(small & (-off >= 0.15 * F.col("med")), "sub").otherwise("body")
+    return s.join(m, "line").select("line", "span", role.alias("role"))
+
+
+@query("""with f as (select p_partkey fig, p_size num, case when p_partkey % 3 = 0 then ' ' else p_name end caption from part), c as (select ps num, min(n) caption from (select s_suppkey % 50 + 1 ps, s_name n from supplier) group by ps)
+select fig, f.num, coalesce(nullif(trim(f.caption), ''), c.caption) as caption from f left join c on f.num = c.num""")
+def j8_backfill_captions(t):
+    f = t("part").select(F.col("p_partkey").alias("fig"), F.col("p_size").alias("num"), F.expr("case when p_partkey % 3 = 0 then ' ' else p_name end").alias("own"))
+    c = t("supplier").groupBy((F.col("s_suppkey") % 50 + 1).alias("n")).agg(F.min("s_name").alias("found"))
+    return f.join(c, f["num"] == c["n"], "left").select("fig", "num", F.coalesce(F.nullif(F.trim("own"), F.lit("")), "found").alias("caption"))
+
+
+@query("""with x as (select distinct user_id d, event_id % 50 m from events where event_type = 'view'), y as (select distinct user_id d, event_id % 50 m from events where event_type = 'click')
+select d as doc, m as marker from x where not exists (select 1 from y where y.d = x.d and y.m = x.m)""")
+def u4_orphan_markers(t):
+    side = lambda k: t("events").where(F.col("event_type") == k).select(F.col("user_id").alias("doc"), (F.col("event_id") % 50).alias("marker")).distinct()
+    return side("view").join(side("click"), ["doc", "marker"], "left_anti")
+
+
+@query("""select user_id as fig, (event_id % 6)::int as bar, coalesce(sum(value) filter (event_type = 'click'), 0)::double as click, coalesce(sum(value) filter (event_type = 'view'), 0)::double as "view", round(sum(value), 4)::double as total
+from events where event_type in ('click', 'view') group by 1, 2""")
+def k16_stacked_matrix(t):
+    e = t("events").where("event_type in ('click', 'view')").withColumn("bar", (F.col("event_id") % 6).cast("int"))
+    p = e.groupBy(F.col("user_id").alias("fig"), "bar").pivot("event_type", ["click", "view"]).agg(F.sum("value"))
+    total = F.round(F.coalesce("click", F.lit(0.0)) + F.coalesce("view", F.lit(0.0)), 4)
+    return p.select("fig", "bar", F.coalesce("click", F.lit(0.0)).alias("click"), F.coalesce("view", F.lit(0.0)).alias("view"), total.alias("total"))
+
+
+@query("""with s as (select user_id fig, count(*) n, count(*) filter (event_type = 'click') ok, count(*) filter (event_type = 'view') partial from events group by 1)
+select fig, case when ok = n then 'ok' when ok + partial > 0 then 'partial' else 'failed' end as status, round((0.95 * ok + 0.5 * partial) / n, 6)::double as confidence from s""")
+def k18_multipanel_rollup(t):
+    s = t("events").groupBy(F.col("user_id").alias("fig")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "click").alias("ok"), F.count_if(F.col("event_type") == "view").alias("partial"))
+    status = F.when(F.col("ok") == F.col("n"), "ok").when(F.col("ok") + F.col("partial") > 0, "partial").otherwise("failed")
+    return s.select("fig", status.alias("status"), F.round((0.95 * F.col("ok") + 0.5 * F.col("partial")) / F.col("n"), 6).alias("confidence"))
+
+
+@query("""select event_type as kind, (user_id % 3)::int as cond, count(*) as n, round(avg((value > 20)::int), 6)::double as accuracy from events
+group by grouping sets ((event_type, (user_id % 3)::int), (event_type), ((user_id % 3)::int), ())""")
+def k19_accuracy_by_kind(t):
+    e = t("events").select(F.col("event_type").alias("kind"), (F.col("user_id") % 3).cast("int").alias("cond"), (F.col("value") > 20).cast("int").alias("hit"))
+    return e.cube("kind", "cond").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("hit"), 6).alias("accuracy"))
+
+
+@query("""with s as (select user_id, event_type, max(value) / 100 score from events group by all), r as (select *, row_number() over (partition by user_id order by score desc, event_type) n from s)
+select user_id, string_agg(event_type, '>' order by n) as ladder from r where n <= 3 and score >= 0.15 group by user_id""")
+def o3_specialist_ladder(t):
+    s = t("events").groupBy("user_id", "event_type").agg((F.max("value") / 100).alias("score"))
+    r = s.withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("score"), "event_type"))).where("n <= 3 and score >= 0.15")
+    rungs = F.array_sort(F.collect_list(F.struct("n", "event_type")))  # three at most
+    return r.groupBy("user_id").agg(F.array_join(F.transform(rungs, lambda x: x["event_type"]), ">").alias("ladder"))
+
+
+@query("""with n as (select l_orderkey fig, l_linenumber node, l_quantity * 10 x, (l_partkey % 100) * 5.0 y from lineitem where l_linenumber <= 4), p as (select l_orderkey fig, l_linenumber pt, l_quantity * 10 px, (l_suppkey % 100) * 5.0 py from lineitem where l_linenumber > 4),
+d as (select p.fig, pt, node, (px - x) * (px - x) + (py - y) * (py - y) d2 from p join n on p.fig = n.fig), r as (select *, row_number() over (partition by fig, pt order by d2, node) k from d where d2 <= 6400)
+select fig, pt, node from r where k = 1""")
+def j14_nearest_node(t):
+    li = t("lineitem")
+    n = li.where("l_linenumber <= 4").selectExpr("l_orderkey fig", "l_linenumber node", "l_quantity * 10 x", "(l_partkey % 100) * 5.0D y")
+    p = li.where("l_linenumber > 4").selectExpr("l_orderkey fig", "l_linenumber pt", "l_quantity * 10 px", "(l_suppkey % 100) * 5.0D py")
+    d = p.join(n, "fig").withColumn("d2", F.expr("(px - x) * (px - x) + (py - y) * (py - y)")).where("d2 <= 6400")
+    return d.groupBy("fig", "pt").agg(F.min_by("node", F.struct("d2", "node")).alias("node"))
