@@ -201,7 +201,7 @@ def build(counts: np.ndarray, uni: np.ndarray, grams: list[tuple[np.ndarray, np.
     count) sorted by both. A node of one level is the place in the level before."""
     out = [np.array([len(counts), len(grams)], np.uint64)]
     size, below = counts.astype(float), uni  # of contexts; probabilities at the level below, by node
-    last_word, lower = np.arange(len(counts)), None
+    lower = None
     for level, (node, word, count) in enumerate(grams):
         n = len(size)
         pointers = np.searchsorted(node, np.arange(n + 1))
@@ -228,7 +228,7 @@ def build(counts: np.ndarray, uni: np.ndarray, grams: list[tuple[np.ndarray, np.
                 at = np.minimum(np.searchsorted(key, v * k + w), max(0, len(key) - 1))
                 return np.where(key[at] == v * k + w, prob[at], gap[v] * uni[w])
 
-            size, last_word = count.astype(float), word
+            size = count.astype(float)
     return np.concatenate(out)
 
 
