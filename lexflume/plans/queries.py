@@ -5,27 +5,12 @@ Where a table lacks what an operator is for, its input is made from other column
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexflume.functions import text as T
 from lexflume.operators import linking, metrics, pages, policies
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = lambda spark, d, f=f: f(lambda name: spark.read.parquet(f"{d}/{name}.parquet"))
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
+from lexflume.plans.registry import query
 
 #: Dirty text made from clean: both engines read these expressions.
 DIRTY = "replace(replace(replace(text, 'the ', 't­he '), 'fi', 'ﬁ'), ' and ', ' – ')"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexflume.functions import text as T
 from lexflume.operators import policies
-from lexflume.plans import queries as Q
+from lexflume.plans import all_queries as Q
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
