@@ -82,14 +82,15 @@ def parse_number(c: Column) -> Column:
 def expand_range(spec: Column, most: int = 50) -> Column:
     """The numbers of a list such as ``3-5, 7``, ascending and distinct; of a range that is too long, the first."""
 
-    def one(p: Column) -> Column:
-        a = F.regexp_extract(p, r"^\s*(\d+)", 1).try_cast("int")
-        b = F.coalesce(F.regexp_extract(p, "^\\s*\\d+\\s*(?:-|–|—|to)\\s*(\\d+)", 1).try_cast("int"), a)
-        low, high = F.least(a, b), F.greatest(a, b)
-        return F.when(a.isNull(), F.array().cast("array<int>")).when(high - low > most, F.array(a)).otherwise(F.sequence(low, high))
-
-    parts = F.split(F.regexp_replace(text_or_empty(spec), "([0-9]+)[A-Za-z]+", "$1"), r"\s*(?:,|and|&)\s*")
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(parts, one))))
+    ends = F.regexp_replace(text_or_empty(spec), "([0-9]+)[A-Za-z]+", "$1")
+    # the numbers of each part are found once, then read from their array
+    ends = F.transform(F.split(ends, r"(?i)\s*(?:,|and|&)\s*"), lambda p: F.transform(F.regexp_extract_all(p, F.lit(r"(?i)(?:^\s*|\G(?<=\d)\s*(?:-|–|—|to)\s*)(\d+)"), F.lit(1)), lambda x: x.try_cast("int")))
+
+    def span(q: Column) -> Column:
+        a, b = F.get(q, F.lit(0)), F.coalesce(F.get(q, F.lit(1)), F.get(q, F.lit(0)))
+        return F.when(a.isNull(), F.slice(q, 1, 0)).when(F.abs(b - a) > most, F.slice(q, 1, 1)).otherwise(F.sequence(F.least(a, b), F.greatest(a, b)))
+
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(ends, span))))
 
 
 def journal_like(c: Column) -> Column:
