@@ -1,4 +1,4 @@
 """Every core query; importing a module of this package registers what is in it."""
 
-from lexflume.plans import layout, markdown, queries, references, reports  # noqa: F401
+from lexflume.plans import cleaning, layout, markdown, queries, references, reports  # noqa: F401
 from lexflume.plans.registry import ORACLES, QUERIES  # noqa: F401
