@@ -101,14 +101,15 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _targets(figures: DataFrame) -> tuple[DataFrame, DataFrame]:
     number = F.regexp_extract("caption_number", r"^(\d+)", 1).try_cast("int")
-    named = figures.withColumn("num", number).where("num is not null").groupBy("doc", "num").agg(F.max_by("fig_id", "ord").alias("by_number"))
+    named = figures.withColumn("num", number).where("num is not null").groupBy("doc", "num").agg(F.max_by("fig_id", F.struct("ord", "fig_id")).alias("by_number"))
     bare = figures.where("coalesce(trim(caption_number), '') = ''").withColumn("num", F.regexp_extract("fig_id", r"(?i)^fig[-_]?0*(\d+)", 1).try_cast("int"))
-    return named, bare.where("num is not null").groupBy("doc", "num").agg(F.min_by("fig_id", "ord").alias("by_id"))
+    return named, bare.where("num is not null").groupBy("doc", "num").agg(F.min_by("fig_id", F.struct("ord", "fig_id")).alias("by_id"))
 
 
 def link_figures(found: DataFrame, figures: DataFrame) -> DataFrame:
     """found (doc, ..., num) with fig_id and rescued: the figure (doc, fig_id, ord, caption_number, ...) whose caption has
-    the number, the last of several; else the first without caption whose id has it. Mentions of neither are left out."""
+    the number, the last of several; else the first without caption whose id has it. Equal places go by id. Mentions of
+    neither are left out."""
     named, bare = _targets(figures)
     out = found.join(named, ["doc", "num"], "left").join(bare, ["doc", "num"], "left")
     return out.withColumns({"fig_id": F.coalesce("by_number", "by_id"), "rescued": F.col("by_number").isNull()}).where("fig_id is not null").drop("by_number", "by_id")

@@ -60,8 +60,8 @@ _BODY = "'We show in Figure ' || (o_custkey % 6) || ' and figs. ' || (o_custkey
 _MENTIONS = """m0 as (select o_orderkey doc, [{'pos': 0, 'matched': 'Figure ' || (o_custkey % 6) || ' and', 'nums': [o_custkey % 6]}] x, o_custkey k from orders),
 m as (select doc, 0 pos, k % 6 num from m0 union all select doc, 1, unnest(range(k % 4, k % 4 + 3)) from m0 union all select doc, 2, unnest([3, 4, 7]) from m0)"""
 _TARGETS = f"""f as ({_FIGS_SQL}), g as (select *, try_cast(nullif(regexp_extract(caption_number, '^(\\d+)', 1), '') as int) num from f),
-a as (select doc, num, max_by(fig_id, ord) a from g where num is not null group by doc, num),
-b as (select doc, nullif(regexp_extract(fig_id, '^fig[-_]?0*(\\d+)', 1), '')::int num, min_by(fig_id, ord) b from g where coalesce(trim(caption_number), '') = '' group by all)"""
+a as (select doc, num, max_by(fig_id, {{'o': ord, 'f': fig_id}}) a from g where num is not null group by doc, num),
+b as (select doc, nullif(regexp_extract(fig_id, '^fig[-_]?0*(\\d+)', 1), '')::int num, min_by(fig_id, {{'o': ord, 'f': fig_id}}) b from g where coalesce(trim(caption_number), '') = '' group by all)"""
 _LINKED = "l as (select m.doc, m.pos, m.num, coalesce(a.a, b.b) fig_id, a.a is null rescued from m left join a on m.doc = a.doc and m.num = a.num left join b on m.doc = b.doc and m.num = b.num where coalesce(a.a, b.b) is not null)"
 _CROSSED = """x0 as (select doc, fig_id source, num own, unnest(list_distinct([split_part(split_part(caption_text, 'Fig. ', 2), ';', 1)::int, 2, 3])) num from g),
 x as (select distinct x0.doc, source, coalesce(a.a, b.b) fig_id from x0 left join a on x0.doc = a.doc and x0.num = a.num left join b on x0.doc = b.doc and x0.num = b.num where x0.num is distinct from own and coalesce(a.a, b.b) is not null)"""
