@@ -1,22 +1,21 @@
-"""LM scoring with an Elias-Fano n-gram trie.
-
-Counting. Texts are coded in chunks: a chunk lists its distinct words, sorted by hash, with their training counts, and
-its tokens as places in that list. Words are dealt to shards by hash, where counts of all chunks meet and totals go back
-to each chunk. A frequent word is one entry per chunk, so no shard grows with a word's frequency.
-
-Model. n-grams of orders 2 and 3 with at least max(2, SHARE * N) training occurrences are kept; there are at most
-1 / SHARE of an order, however large the corpus, so the model may be sent to every executor. Probabilities interpolate
-absolute discounting down to add-one unigrams, whose counts are exact for every word. The kept n-grams form a trie: a
-level holds, for all contexts in order, their successors' ids, made one ascending sequence by adding what the context
-before ended with; sequence and pointers are in Elias-Fano form, log probabilities and back-off weights are quantised.
-Executors map the levels from an unlinked file, and look up a successor relative to its context's range.
+"""LM scoring with an n-gram model whose levels are Elias-Fano shards.
+
+Chunks. Texts are coded in chunks: a chunk lists its distinct words, sorted by hash, and its tokens as places in that
+list. What a chunk must know of its words, pairs and triples it asks of shards by hash: a request lists a chunk's
+distinct keys of one order with their training counts, a shard adds up what all chunks send and answers each chunk in
+the order of its list. A key is one entry per chunk, so no shard grows with a key's frequency.
+
+Model. Every n-gram of orders 2 and 3 with at least LEAST training occurrences is kept, whatever the size of the corpus;
+nothing of the model is collected or broadcast, and there are as many shards as input partitions. A shard is a slice of
+one level: the hashes of its kept n-grams as an ascending sequence in Elias-Fano form, with their counts.
+Probabilities interpolate absolute discounting down to add-one unigrams, whose counts are exact for every word. What a
+context's kept successors take from it is summed in a second round: of the chunks that list an n-gram, one owns it and
+adds it to its context, and contexts are summed by shards like counts.
 """
 
 from __future__ import annotations
 
 import math
-import mmap
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +25,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm.common import held_out, kept, table
+from lexflume.llm.common import held_out, kept, mix64, table
 from lexflume.llm.elias_fano import EliasFano
 
 FOLDS, HELD = 7, 2
-SHARE, DISCOUNT = 5e-6, 0.75
+LEAST, DISCOUNT = 2, 0.75
 CHUNK_BYTES, CHUNK_DOCS = 8_000_000, 8192
-STEPS = 65535
+#: What requests are about: words, pairs and triples, then the words and pairs that are contexts.
+WORDS, PAIRS, TRIPLES, AFTER_WORD, AFTER_PAIR = range(5)
+#: The word that ends a text, and stands before its first.
+MARK = np.uint64(xxhash.xxh3_64_intdigest(b""))
+_ODD = 0x9E3779B97F4A7C15
 
 
 def _z(a: np.ndarray) -> bytes:
@@ -43,7 +46,7 @@ def _u(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
 
 
-CODED = "chunk long, part int, n long, ids binary, nulls binary, lens binary, flags binary, tokens binary, words binary, counts binary"
+CODED = "chunk long, n long, ids binary, nulls binary, lens binary, flags binary, tokens binary, words binary"
 
 
 class _Local(dict):
@@ -54,7 +57,7 @@ class _Local(dict):
         return v
 
 
-def _encode(shards: int):
+def _encode():
     names = [x.split()[0] for x in CODED.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,13 +72,8 @@ def _encode(shards: int):
             words, place = np.unique(words, return_inverse=True)
             flat = place[np.concatenate(tokens)].astype(np.uint32)
             train = np.repeat(np.array(flags, bool), lens)
-            counts = np.bincount(flat[train], minlength=len(words)).astype(np.int64)
-            rows = [(chunk, -1, int(train.sum()), _z(np.array(ids, np.int64)), _z(np.array(nulls, bool)), _z(np.array(lens, np.int64)), _z(np.array(flags, bool)), _z(flat), None, None)]
-            # shards are ranges of hashes, so the chunk's list is its shards' lists in order
-            of = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-            cut = np.searchsorted(of, np.arange(shards + 1))
-            rows += [(chunk, s, 0, None, None, None, None, None, words[cut[s] : cut[s + 1]].tobytes(), _z(counts[cut[s] : cut[s + 1]])) for s in range(shards) if cut[s] < cut[s + 1]]
-            return pd.DataFrame(rows, columns=names)
+            row = (chunk, int(train.sum()), _z(np.array(ids, np.int64)), _z(np.array(nulls, bool)), _z(np.array(lens, np.int64)), _z(np.array(flags, bool)), _z(flat), words.tobytes())
+            return pd.DataFrame([row], columns=names)
 
         for b in batches:
             for doc_id, text, train in zip(b["doc_id"], b["text"], b["train"], strict=True):
@@ -99,255 +97,177 @@ def _encode(shards: int):
     return run
 
 
-REPLY = "chunk long, part int, counts binary, heavy binary, v long"
+class _Chunk:
+    """The texts of a coded row: keys of its words, pairs and triples, and each token's places among them.
 
+    one is the place of the word before a token; a text's first token has an end before it and no triple (-1).
+    """
+
+    def __init__(self, r):
+        self.chunk, self.ids, self.nulls, self.lens = r.chunk, _u(r.ids, np.int64), _u(r.nulls, bool), _u(r.lens, np.int64)
+        self.train = np.repeat(_u(r.flags, bool), self.lens)
+        self.words, self.cur = np.frombuffer(r.words, np.uint64), _u(r.tokens, np.uint32).astype(np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.lens)[:-1]])
+        self.one = np.concatenate([[0], self.cur[:-1]])
+        self.one[self.start] = np.searchsorted(self.words, MARK)
+        self.later = np.ones(len(self.cur), bool)
+        self.later[self.start] = False
+        self.later = np.flatnonzero(self.later)
+        with np.errstate(over="ignore"):
+            h = mix64(self.words)[self.cur]
+            pair = mix64(self.words[self.one] * np.uint64(_ODD) + h)
+            triple = mix64(pair[self.later - 1] * np.uint64(_ODD) + h[self.later])
+        self.pairs, self.pair = np.unique(pair, return_inverse=True)
+        self.triples, own = np.unique(triple, return_inverse=True)
+        self.triple = np.full(len(self.cur), -1, np.int64)
+        self.triple[self.later] = own
 
-def _count(least: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Totals of one shard's words, back to each chunk in the order of its list; row -1 has the frequent words."""
-        lists = [np.frombuffer(x, np.uint64) for x in rows["words"]]
-        words, place = np.unique(np.concatenate(lists), return_inverse=True)
-        total = np.bincount(place, np.concatenate([_u(x, np.int64) for x in rows["counts"]]).astype(float), len(words)).astype(np.int64)
-        part, at, out = int(rows["part"].iloc[0]), 0, []
-        for chunk, own in zip(rows["chunk"], lists, strict=True):
-            c = total[place[at : at + len(own)]]
-            out.append((chunk, part, _z(c), own[c >= least].tobytes(), 0))
-            at += len(own)
-        big = total >= least
-        out.append((-1, part, _z(total[big]), words[big].tobytes(), int((total > 0).sum())))
-        return pd.DataFrame(out, columns=[x.split()[0] for x in REPLY.split(", ")])
+    def counts(self, place: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(place[self.train & (place >= 0)], minlength=n).astype(np.int64)
 
-    return run
+
+def _dealt(chunk: int, kind: int, keys: np.ndarray, values: np.ndarray, shards: int) -> list[tuple]:
+    """Requests of one kind: shards are ranges of hashes, so a sorted list is its shards' lists in order."""
+    of = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    cut = np.searchsorted(of, np.arange(shards + 1))
+    return [(chunk, kind, s, keys[cut[s] : cut[s + 1]].tobytes(), _z(values[cut[s] : cut[s + 1]])) for s in range(shards) if cut[s] < cut[s + 1]]
+
+
+REQUEST = "chunk long, kind int, part int, keys binary, sums binary"
+ANSWER = "chunk long, kind int, part int, answers binary, v long"
 
 
-JOINED = "chunk long, ids binary, nulls binary, lens binary, flags binary, tokens binary, counts binary, heavy binary"
+def _asked(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in REQUEST.split(", ")])
 
 
-def _rejoin(sent, least: int):
+def _ask(shards: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                x = _Chunk(r)
+                for kind, keys, place in ((WORDS, x.words, x.cur), (PAIRS, x.pairs, x.pair), (TRIPLES, x.triples, x.triple)):
+                    yield _asked(_dealt(x.chunk, kind, keys, x.counts(place, len(keys)), shards))
+
+    return run
+
+
+class Shard:
+    """A slice of a level: its keys, ascending, in Elias-Fano form relative to the first that may be looked up."""
+
+    def __init__(self, keys: np.ndarray, base: np.uint64):
+        self.base, self.keys = base, EliasFano.of((keys - base).astype(np.int64))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        if not self.keys.n:
+            return np.full(len(keys), -1, np.int64)
+        x = (keys - self.base).astype(np.int64)
+        at = self.keys.successor(x)
+        return np.where((at < self.keys.n) & (self.keys.access(np.minimum(at, self.keys.n - 1)) == x), at, -1)
+
+
+def _answer(rows: pd.DataFrame) -> pd.DataFrame:
+    """Twice the kept totals of one shard's keys, plus one for the chunk that owns a key; row -1 has their number."""
+    kind, part = int(rows["kind"].iloc[0]), int(rows["part"].iloc[0])
+    lists = [np.frombuffer(x, np.uint64) for x in rows["keys"]]
+    keys = np.concatenate(lists)
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    total = np.add.reduceat(np.concatenate([_u(x, np.int64) for x in rows["sums"]])[order], first)
+    fine = total >= (LEAST if kind in (PAIRS, TRIPLES) else 1)
+    shard, total, own = Shard(ranked[first[fine]], ranked[0]), total[fine], np.zeros(len(keys), np.int64)
+    own[order[first[fine]]] = 1
+    at, out = 0, []
+    for chunk, asked in zip(rows["chunk"], lists, strict=True):
+        place = shard.find(asked)
+        got = np.where(place >= 0, 2 * total[place], 0) if len(total) else np.zeros(len(asked), np.int64)
+        out.append((chunk, kind, part, _z(got + own[at : at + len(asked)]), 0))
+        at += len(asked)
+    if kind == WORDS:
+        out.append((-1, kind, part, None, len(total)))
+    return pd.DataFrame(out, columns=[x.split()[0] for x in ANSWER.split(", ")])
+
+
+def _answers(replies: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Totals of a chunk's keys of one kind, and which of them it owns."""
+    mine = replies[replies["kind"] == kind].sort_values("part")
+    a = np.concatenate([np.zeros(0, np.int64), *[_u(x, np.int64) for x in mine["answers"]]])
+    return a >> 1, (a & 1).astype(bool)
+
+
+def _contexts(x: _Chunk, words: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words and pairs of a chunk that can have kept successors."""
+    used = np.zeros(len(pairs), bool)
+    used[x.pair[x.later - 1]] = True
+    return np.flatnonzero(words >= LEAST), np.flatnonzero(used & (pairs >= LEAST))
+
+
+def _ask_contexts(shards: int):
     def run(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        names = [x.split()[0] for x in JOINED.split(", ")]
-        if not len(rows):
-            return pd.DataFrame(columns=names)
-        r, replies = rows.iloc[0], replies.sort_values("part")
-        counts = np.concatenate([_u(x, np.int64) for x in replies["counts"]])
-        heavy = np.full(len(counts), -1, np.int32)
-        # the least count that is frequent tells which words the replies name
-        heavy[counts >= least] = np.searchsorted(sent.value, np.concatenate([np.frombuffer(x, np.uint64) for x in replies["heavy"]]))
-        return pd.DataFrame([(r["chunk"], r["ids"], r["nulls"], r["lens"], r["flags"], r["tokens"], _z(counts), _z(heavy))], columns=names)
+        """What the kept n-grams that a chunk owns take from their contexts, in units of a quarter."""
+        x = _Chunk(next(rows.itertuples()))
+        words, _ = _answers(replies, WORDS)
+        (pairs, own2), (triples, own3) = _answers(replies, PAIRS), _answers(replies, TRIPLES)
+        of_pair, of_triple = np.zeros(len(pairs), np.int64), np.zeros(len(triples), np.int64)
+        of_pair[x.pair] = x.one
+        of_triple[x.triple[x.later]] = x.pair[x.later - 1]
+        taken = lambda of, n, own, size: np.bincount(of[own], 4 * (n[own] - DISCOUNT), size).astype(np.int64)
+        w, p = _contexts(x, words, pairs)
+        out = _dealt(x.chunk, AFTER_WORD, x.words[w], taken(of_pair, pairs, own2, len(words))[w], shards)
+        return _asked(out + _dealt(x.chunk, AFTER_PAIR, x.pairs[p], taken(of_triple, triples, own3, len(pairs))[p], shards))
 
     return run
 
 
-class Trie:
-    """Levels of kept n-grams; level k has a node per n-gram of order k + 1.
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
-    Level 0 are the frequent words. For each higher level: the pointers from nodes of the level below to ranges of
-    successors, the successors' ids made ascending, quantised log probabilities and back-off weights.
-    """
 
-    def __init__(self, words: np.ndarray):
-        at = 0
-        self.levels = []
-        head = words[:2]
-        self.size, at = int(head[0]), 2
-        for _ in range(int(head[1])):
-            pointers, at = EliasFano.unpack(words, at)
-            ids, at = EliasFano.unpack(words, at)
-            n, lo, hi = int(words[at]), *(float(x) for x in words[at + 1 : at + 3].view(np.float64))
-            at += 3
-            width = (n + 3) // 4
-            code = words[at : at + width].view(np.uint16)[:n]
-            at += width
-            m, blo, bhi = int(words[at]), *(float(x) for x in words[at + 1 : at + 3].view(np.float64))
-            at += 3
-            width = (m + 3) // 4
-            back = words[at : at + width].view(np.uint16)[:m]
-            at += width
-            self.levels.append((pointers, ids, code, lo, hi, back, blo, bhi))
-
-    def find(self, level: int, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The node of each successor word of each node of the level below, or -1."""
-        pointers, ids = self.levels[level][:2]
-        if not ids.n:
-            return np.full(len(node), -1, np.int64)
-        begin, end = pointers.access(node), pointers.access(node + 1)
-        base = np.where(begin > 0, ids.access(np.maximum(begin - 1, 0)), 0)
-        x = base + word + 1
-        at = ids.successor(x)
-        fine = (at >= begin) & (at < end)
-        hit = np.minimum(at, ids.n - 1)
-        return np.where(fine & (ids.access(hit) == x), at, -1)
-
-    def log(self, level: int, node: np.ndarray) -> np.ndarray:
-        _, _, code, lo, hi, *_ = self.levels[level]
-        return lo + code[node] * ((hi - lo) / STEPS)
-
-    def back(self, level: int, node: np.ndarray) -> np.ndarray:
-        """Back-off weights of nodes of the level below."""
-        *_, code, lo, hi = self.levels[level]
-        return lo + code[node] * ((hi - lo) / STEPS)
-
-
-def _quantised(x: np.ndarray) -> list[np.ndarray]:
-    lo, hi = (float(x.min()), float(x.max())) if len(x) else (0.0, 0.0)
-    code = np.rint((x - lo) / (hi - lo) * STEPS).astype(np.uint16) if hi > lo else np.zeros(len(x), np.uint16)
-    flat = np.zeros((len(x) + 3) // 4 * 4, np.uint16)
-    flat[: len(x)] = code
-    return [np.array([len(x)], np.uint64), np.array([lo, hi]).view(np.uint64), flat.view(np.uint64)]
-
-
-def build(counts: np.ndarray, uni: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
-    """A trie's words from the frequent words' counts and unigram probabilities, and per level (context node, word id,
-    count) sorted by both. A node of one level is the place in the level before."""
-    out = [np.array([len(counts), len(grams)], np.uint64)]
-    size, below = counts.astype(float), uni  # of contexts; probabilities at the level below, by node
-    lower = None
-    for level, (node, word, count) in enumerate(grams):
-        n = len(size)
-        pointers = np.searchsorted(node, np.arange(n + 1))
-        if len(node):
-            starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-            ends = np.concatenate([starts[1:], [len(node)]]) - 1
-            base = np.concatenate([[0], np.cumsum(word[ends] + 1)])[:-1]
-            rising = word + 1 + np.repeat(base, ends - starts + 1)
-        else:
-            rising = np.zeros(0, np.int64)
-        share = (count - DISCOUNT) / size[node] if len(node) else np.zeros(0)
-        spare = np.maximum(1e-9, 1.0 - np.bincount(node, share, n)) if len(node) else np.ones(n)
-        if level == 0:
-            shorter = below[word] if len(word) else np.zeros(0)
-        else:  # the probability of the word after the context without its first word
-            shorter = lower(node, word)
-        p = share + spare[node] * shorter if len(node) else np.zeros(0)
-        out += EliasFano.of(pointers).pack() + EliasFano.of(rising).pack() + _quantised(np.log10(p)) + _quantised(np.log10(spare))
-        if level + 1 < len(grams):
-            key, prob, tail, gap = node * len(counts) + word, p, word, spare
-
-            def lower(ctx, w, key=key, prob=prob, tail=tail, gap=gap, uni=uni, k=len(counts)):
-                v = tail[ctx]
-                at = np.minimum(np.searchsorted(key, v * k + w), max(0, len(key) - 1))
-                return np.where(key[at] == v * k + w, prob[at], gap[v] * uni[w])
-
-            size = count.astype(float)
-    return np.concatenate(out)
-
-
-def _mapped(data: bytes) -> np.ndarray:
-    with tempfile.TemporaryFile() as f:  # unlinked at once: nothing stays behind
-        f.write(data)
-        f.flush()
-        return np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), np.uint64)
-
-
-class _Rows:
-    """The docs of a joined row: heavy ids and counts of tokens, with contexts; a text's first context is an end."""
-
-    def __init__(self, r, end: int):
-        self.ids, self.nulls, self.lens, self.flags = _u(r.ids, np.int64), _u(r.nulls, bool), _u(r.lens, np.int64), _u(r.flags, bool)
-        t = _u(r.tokens, np.uint32)
-        self.cur = _u(r.heavy, np.int32)[t].astype(np.int64)
-        self.count = _u(r.counts, np.int64)[t]
-        self.start = np.concatenate([[0], np.cumsum(self.lens)[:-1]])
-        self.one = np.concatenate([[end], self.cur[:-1]])
-        self.one[self.start] = end
-        self.two = np.concatenate([[-1, -1], self.cur])[: len(self.cur)]
-        self.two[self.start] = -1
-        second = self.start[self.lens > 1] + 1
-        self.two[second] = end
-        self.train = np.repeat(self.flags, self.lens)
+def _score(whole: int):
+    def run(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        x = _Chunk(next(rows.itertuples()))
+        (words, _), (pairs, _), (triples, _) = (_answers(replies, k) for k in (WORDS, PAIRS, TRIPLES))
+        w, p = _contexts(x, words, pairs)
+
+        def spare(kind, place, counts):
+            out = np.ones(len(counts))
+            out[place] = np.maximum(1e-9, 1.0 - _answers(replies, kind)[0] / (4.0 * counts[place]))
+            return out
+
+        after_word, after_pair = spare(AFTER_WORD, w, words), spare(AFTER_PAIR, p, pairs)
+        own = lambda n, context: np.where(n > 0, (n - DISCOUNT) / np.maximum(1, context), 0.0)
+        base = np.log10(words[x.cur] + 1.0) - math.log10(whole)
+        prob = own(pairs[x.pair], words[x.one]) + after_word[x.one] * ((words[x.cur] + 1.0) / whole)
+        # the context of order two is the pair that ends one token before, in the same text
+        ctx = x.pair[x.later - 1]
+        prob[x.later] = own(triples[x.triple[x.later]], pairs[ctx]) + after_pair[ctx] * prob[x.later]
+        add = lambda a: np.add.reduceat(a, x.start)
+        ids = pd.array(x.ids, dtype="Int64")
+        ids[x.nulls] = pd.NA
+        return pd.DataFrame({"doc_id": ids, "n_tokens": x.lens, "n_known": add((words[x.cur] > 0).astype(np.int64)), "base_score": add(base), "score": add(np.log10(prob))})
 
+    return run
 
-def _grams(coded: DataFrame, end: int, size: int, least: int, pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of the frequent n-grams: prev * size + word, or place in pairs * size + word."""
-    sent = coded.sparkSession.sparkContext.broadcast(pairs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for r in b.itertuples():
-                x = _Rows(r, end)
-                m = x.train & (x.cur >= 0) & (x.one >= 0)
-                key = x.one[m] * size + x.cur[m]
-                if pairs is not None:
-                    known, two = sent.value, x.two[m]
-                    if not len(known):
-                        continue
-                    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                    first = two * size + x.one[m]
-                    of = np.minimum(np.searchsorted(known, first), len(known) - 1)
-                    fine = (known[at] == key) & (two >= 0) & (known[of] == first)
-                    key = of[fine] * size + x.cur[m][fine]
-                k, n = np.unique(key, return_counts=True)
-                yield pd.DataFrame({"k": k, "n": n})
-
-    # at most 1 / SHARE keys pass
-    got = coded.mapInPandas(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas().sort_values("k")
-    return got["k"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
-
-
-def lm_score(docs: DataFrame, share: float = SHARE) -> DataFrame:
+def lm_score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of docs (doc_id, text).
 
-    Words are told apart by 64-bit hashes. A null text is an empty one: its only token is the end. Null ids are in no
-    fold, so they train. Repeated rows count and are scored each. Without training tokens every probability is that of
-    an unseen word. An empty table gives an empty result; other columns aren't looked at.
+    Words and n-grams are told apart by 64-bit hashes. A null text is an empty one: its only token is the end. Null ids
+    are in no fold, so they train. Repeated rows count and are scored each. Without training tokens every probability is
+    that of an unseen word. An empty table gives an empty result; other columns aren't looked at.
     """
-    spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long"), "text")
     d = d.withColumn("train", ~F.coalesce(held_out(F.col("doc_id"), FOLDS, HELD), F.lit(False)))
     shards = max(8, d._jdf.queryExecution().toRdd().getNumPartitions())  # in proportion to the input
-    coded = kept(d.mapInPandas(_encode(shards), CODED))
-    n = coded.where("part = -1").agg(F.sum("n")).first()[0] or 0
-    least = max(2, math.ceil(share * n))
-    replies = kept(coded.where("part >= 0").select("chunk", "part", "words", "counts").groupBy("part").applyInPandas(_count(least), REPLY))
-    top = replies.where("chunk = -1").select("counts", "heavy", "v").collect()  # at most 1 / share words
-    v = sum(r["v"] for r in top)
-    words = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["heavy"], np.uint64) for r in top]])
-    counts = np.concatenate([np.zeros(0, np.int64), *[_u(r["counts"], np.int64) for r in top]])
-    order = np.argsort(words)
-    words, counts = words[order], counts[order]
-    hashes = spark.sparkContext.broadcast(words)
-    joined = coded.where("part = -1").groupBy("chunk").cogroup(replies.where("chunk >= 0").groupBy("chunk")).applyInPandas(_rejoin(hashes, least), JOINED)
-    joined = kept(joined)
-    mark = np.uint64(xxhash.xxh3_64_intdigest(b""))
-    at = int(np.searchsorted(words, mark)) if len(words) else 0
-    end = at if at < len(words) and words[at] == mark else -1
-    size = max(1, len(words))
-    pairs, n2 = _grams(joined, end, size, least, None)
-    triples, n3 = _grams(joined, end, size, least, pairs)
-    whole = n + v + 1
-    data = build(counts, (counts + 1) / whole, [(pairs // size, pairs % size, n2), (triples // size, triples % size, n3)]).tobytes()
-    model = spark.sparkContext.broadcast(data)
-    log_whole = math.log10(whole)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie = Trie(_mapped(model.value))
-        for b in batches:
-            for r in b.itertuples():
-                x = _Rows(r, end)
-                base = np.log10(x.count + 1.0) - log_whole
-                score = base.copy()
-                heavy = np.flatnonzero(x.one >= 0)
-                score[heavy] += trie.back(0, x.one[heavy])
-                m = np.flatnonzero((x.one >= 0) & (x.cur >= 0))
-                node = trie.find(0, x.one[m], x.cur[m])
-                pair = np.full(len(x.cur), -1, np.int64)
-                pair[m] = node
-                hit = np.flatnonzero(pair >= 0)
-                score[hit] = trie.log(0, pair[hit])
-                # the context of order two is the pair that ends one token before, in the same text
-                ctx = np.concatenate([[-1], pair[:-1]])
-                ctx[x.start] = -1
-                long = np.flatnonzero(ctx >= 0)
-                score[long] += trie.back(1, ctx[long])
-                m = long[x.cur[long] >= 0]
-                node = trie.find(1, ctx[m], x.cur[m])
-                score[m[node >= 0]] = trie.log(1, node[node >= 0])
-                add = lambda a: np.add.reduceat(a, x.start)
-                ids = pd.array(x.ids, dtype="Int64")
-                ids[x.nulls] = pd.NA
-                yield pd.DataFrame({"doc_id": ids, "n_tokens": x.lens, "n_known": add((x.count > 0).astype(np.int64)), "base_score": add(base), "score": add(score)})
-
-    out = joined.mapInPandas(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    coded = kept(d.mapInPandas(_encode(), CODED))
+    n = coded.agg(F.sum("n")).first()[0] or 0
+    counts = kept(coded.mapInPandas(_ask(shards), REQUEST).groupBy("kind", "part").applyInPandas(_answer, ANSWER))
+    v = counts.where("chunk = -1").agg(F.sum("v")).first()[0] or 0
+    counts = counts.where("chunk >= 0")
+    taken = coded.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(_ask_contexts(shards), REQUEST)
+    taken = taken.groupBy("kind", "part").applyInPandas(_answer, ANSWER)
+    out = coded.groupBy("chunk").cogroup(counts.union(taken).groupBy("chunk")).applyInPandas(_score(n + v + 1), SCORED)
     return out.select("doc_id", held_out(F.col("doc_id"), FOLDS, HELD).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -194,6 +194,32 @@ def test_lm_matches_brute_force(spark, small):
     assert sum(r["score"] for r in got.values() if r["held_out"]) > sum(r["base_score"] for r in got.values() if r["held_out"])
 
 
+def test_lm_keeps_rare_n_grams_of_a_large_corpus(spark):
+    """Above 400,000 tokens a bound in proportion to the corpus would ask for more than two occurrences."""
+    random.seed(4)
+    texts = [" ".join(f"c{random.randrange(40)}" for _ in range(21_000)) for _ in range(20)] + ["zig zag zog zig zag zug", "zag zog zig zag zog"]
+    got = {r["n_tokens"] * 100 + r["n_known"] % 100: r for r in lm_score.lm_score(docs(spark, [(None, t, "en", "s") for t in texts])).collect()}
+    split = [[b"", *t.encode().split(), b""] for t in texts]
+    one = collections.Counter(w for t in split for w in t[1:])
+    two = collections.Counter(x for t in split for x in zip(t, t[1:]))
+    three = collections.Counter(x for t in split for x in zip(t, t[1:], t[2:]))
+    n, spare = sum(one.values()), collections.defaultdict(lambda: 1.0)
+    for x, c in [*two.items(), *three.items()]:
+        if c >= 2:
+            spare[x[:-1]] -= (c - 0.75) / (one[x[0]] if len(x) == 2 else two[x[:2]])
+    assert n > 400_000
+    for t in split[-2:]:
+        want = 0.0
+        for k in range(1, len(t)):
+            p = (one[t[k]] + 1) / (n + len(one) + 1)
+            for counts, ctx, whole in ((two, (t[k - 1],), one[t[k - 1]]), (three, tuple(t[k - 2 : k]), two[tuple(t[k - 2 : k])] if k > 1 else 0)):
+                c = counts[(*ctx, t[k])] if whole else 0
+                p = (c - 0.75 if c >= 2 else 0) / max(1, whole) + (max(1e-9, spare[ctx]) if whole >= 2 else 1) * p
+            want += math.log10(p)
+        r = got[(len(t) - 1) * 100 + len(t) - 1]
+        assert math.isclose(r["score"], want, rel_tol=1e-9)
+
+
 def test_classifier_ranks_held_out(spark):
     d = "/root/testdata/sf0.01"
     r = quality_classifier.op1_quality_classifier(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
