@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexflume.llm.common import SPACE, connected_components, kept, mix64, table
@@ -29,11 +29,16 @@ CHUNK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
+def row_key() -> Column:
+    """Tells documents apart: rows with the same id and text are one, others aren't, null ids or not."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, lid) of each line that is compared; lid is the 64-bit hash of the trimmed line."""
-    d = docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    """(doc_id, row, line, lid) of each line that is compared; row is row_key(), lid the 64-bit hash of the trimmed line."""
+    d = docs.select(F.col("doc_id").cast("long"), row_key().alias("row"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
     d = d.withColumn("t", F.trim("t", F.lit(" \t\n\x0b\f\r")))
-    return d.where(F.length("t") >= SHORTEST).select("doc_id", "line", F.xxhash64("t").alias("lid"))
+    return d.where(F.length("t") >= SHORTEST).select("doc_id", "row", "line", F.xxhash64("t").alias("lid"))
 
 
 class Powers:
@@ -281,9 +286,9 @@ def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
     pairs = kept(dealt.mapInPandas(_candidates, "a long, b long").distinct())
     # the texts of the lines in pairs: one place each, then the documents that hold them
     wanted = pairs.select(F.col("a").alias("lid")).union(pairs.select("b")).distinct()
-    place = lines.join(wanted, "lid", "left_semi").groupBy("lid").agg(F.min(F.struct("doc_id", "line")).alias("p"))
-    per = place.groupBy(F.col("p.doc_id").alias("_id")).agg(F.collect_list(F.struct("lid", F.col("p.line").alias("line"))).alias("w"))  # of one document
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(per.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"))
+    place = lines.join(wanted, "lid", "left_semi").groupBy("lid").agg(F.min(F.struct("row", "line")).alias("p"))
+    per = place.groupBy(F.col("p.row").alias("_row")).agg(F.collect_list(F.struct("lid", F.col("p.line").alias("line"))).alias("w"))  # of one document
+    d = docs.select(row_key().alias("row"), "text").join(per.hint("shuffle_hash"), F.col("row") == F.col("_row"))
     texts = d.select(F.split("text", "\n").alias("t"), F.explode("w").alias("w")).select(F.col("w.lid").alias("lid"), F.trim(F.get("t", F.col("w.line")), F.lit(" \t\n\x0b\f\r")).alias("x"))
     texts = kept(texts.where("x is not null and xxhash64(x) = lid").dropDuplicates(["lid"]))
     both = pairs.join(texts.select(F.col("lid").alias("a"), "x"), "a").join(texts.select(F.col("lid").alias("b"), F.col("x").alias("y")), "b")
@@ -291,15 +296,15 @@ def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, line) of lines that go, (doc_id, n_links))."""
+    """((row, line) of lines that go, (row, n_links))."""
     lines = kept(lines_of(docs))
     linked = links(docs, lines)
     cls = connected_components(linked)
-    own = lines.join(cls.withColumnRenamed("node", "lid"), "lid", "left").select("doc_id", "line", "lid", F.coalesce("component", "lid").alias("class"))
-    first = own.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "line")).alias("f")).where("n > 1")
-    gone = own.join(first, "class").where("not (doc_id <=> f.doc_id and line = f.line)").select("doc_id", "line").distinct()
+    own = lines.join(cls.withColumnRenamed("node", "lid"), "lid", "left").select("doc_id", "row", "line", "lid", F.coalesce("component", "lid").alias("class"))
+    first = own.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "line")).alias("f")).where("n > 1")
+    gone = own.join(first, "class").where("not (row = f.row and line = f.line)").select("row", "line").distinct()
     degree = linked.select(F.col("a").alias("lid")).union(linked.select("b")).groupBy("lid").agg(F.count(F.lit(1)).alias("k"))
-    n_links = lines.join(degree, "lid").groupBy("doc_id").agg(F.sum("k").alias("n_links"))
+    n_links = lines.distinct().join(degree, "lid").groupBy("row").agg(F.sum("k").alias("n_links"))
     return gone, n_links
 
 
@@ -309,14 +314,15 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     n_lines counts all lines of the text, n_removed those that go because an earlier line, by document id and place, is of
     their class, n_links the links of the document's lines to lines of other wording. A null text has no lines and an
     empty one a single line; lines under SHORTEST code points, empty ones among them, always stay. Rows with the same
-    id and text are one document. Rows with null ids are compared as one document before all others.
+    id and text are one document; rows with the same id and other texts, or with null ids, are documents of their own.
+    Null ids come before all others, and documents of one id in the order of a hash of id and text.
     """
     gone, n_links = removed(docs)
-    per = gone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_removed"), F.min("line").alias("first_removed"), F.max("line").alias("last_removed"))
-    base = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("_n"))
-    base = base.withColumn("n_lines", F.greatest(F.col("_n"), F.lit(0))).drop("_n").alias("d")
-    out = base.join(per.alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left").join(n_links.alias("k"), F.expr("d.doc_id <=> k.doc_id"), "left")
-    return out.select("d.doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "first_removed", "last_removed")
+    per = gone.groupBy("row").agg(F.count(F.lit(1)).alias("n_removed"), F.min("line").alias("first_removed"), F.max("line").alias("last_removed"))
+    base = docs.select(F.col("doc_id").cast("long"), row_key().alias("row"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("_n"))
+    base = base.withColumn("n_lines", F.greatest(F.col("_n"), F.lit(0))).drop("_n")
+    out = base.join(per, "row", "left").join(n_links, "row", "left")
+    return out.select("doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "first_removed", "last_removed")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,8 +332,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without the lines that go; a document all of whose lines go stays with an empty text."""
     gone, _ = removed(docs)
-    per = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_gone"))  # of one document
-    t = docs.join(per.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left")
+    per = gone.groupBy(F.col("row").alias("_row")).agg(F.collect_set("line").alias("_gone"))  # of one document
+    t = docs.join(per.hint("shuffle_hash"), row_key() == F.col("_row"), "left")
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     cut = F.col("_gone").isNotNull() & F.col("text").isNotNull()
     t = t.withColumn("text", F.when(cut, rest).otherwise(F.col("text")))

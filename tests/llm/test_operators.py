@@ -148,6 +148,18 @@ def test_line_links_match_brute_force(spark):
     assert line_dedup.links(d, lines).count() == want > 0
 
 
+def test_lines_of_rows_with_one_id_or_none(spark):
+    same, near = "a line that stands in many a document here", "a line that stands in many a document there"
+    rows = [(1, f"{same}\nfirst of its own, of no other document", "en", "s"), (2, f"clean line of one of the rows called two\n{same}", "en", "s"), (2, "start of another row that is called two\nits second line, which nothing repeats", "en", "s")]
+    rows += [(None, f"no id, and a first line that is only here\n{near}", "en", "s"), (None, "no id either, with quite another beginning\nand another second line without any copies", "en", "s")]
+    d = docs(spark, rows)
+    got = sorted(r["text"] for r in line_dedup.stage(spark, d, "").collect())
+    cut = {same: ""}  # the line without an id comes first
+    want = ["\n".join(x for x in t.split("\n") if x not in cut) for _, t, _, _ in rows]
+    assert got == sorted(want)
+    assert sorted(r["n_links"] for r in line_dedup.line_dedup(d).collect()) == [0, 0, 1, 1, 1]
+
+
 def test_near_duplicates_match_brute_force(spark):
     random.seed(3)
     base = [[f"{random.choice('abcdef')}{random.randrange(500)}" for _ in range(200)] for _ in range(15)]
