@@ -1,7 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
-Lines of at least SHORTEST code points are compared, without white space at their ends. Lines of FUZZY code points or
-more are alike within EDITS edits, shorter ones if they are equal. Two lines within t edits share one of the t + 1
+All lines that aren't empty are compared, without white space at their ends. Lines of FUZZY code points or more are
+alike within EDITS edits, those from SHORT within one edit, shorter ones if they are equal; of two lines the shorter one
+decides. Two lines within t edits share one of the t + 1
 segments that the shorter is cut into, at a place that t bounds (Li, Deng, Wang and Feng, 2011): each line is indexed by
 its own segments, and probes those of lines of its length and up to t less with the substrings that multi-match-aware
 selection leaves. Keys hold length, segment and a hash of its text. What shares a key is filtered by a parity sketch
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lexflume.llm.common import SPACE, connected_components, kept, mix64, table
 
-EDITS, SHORTEST, FUZZY = 2, 20, 32
+EDITS, SHORT, FUZZY = 2, 16, 32
 #: Pairs of one key that are compared at once; beyond it they are first joined on pieces of their sketches.
 MANY = 1 << 16
 #: Code points hashed at once.
@@ -38,7 +39,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line, lid) of each line that is compared; row is row_key(), lid the 64-bit hash of the trimmed line."""
     d = docs.select(F.col("doc_id").cast("long"), row_key().alias("row"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
     d = d.withColumn("t", F.trim("t", F.lit(" \t\n\x0b\f\r")))
-    return d.where(F.length("t") >= SHORTEST).select("doc_id", "row", "line", F.xxhash64("t").alias("lid"))
+    return d.where(F.length("t") > 0).select("doc_id", "row", "line", F.xxhash64("t").alias("lid"))
 
 
 class Powers:
@@ -67,7 +68,7 @@ def segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarra
     return out
 
 
-def keys(lines: list[str], lids: np.ndarray, powers: Powers, edits: int = EDITS) -> tuple[np.ndarray, ...]:
+def keys(lines: list[str], lids: np.ndarray, powers: Powers) -> tuple[np.ndarray, ...]:
     """(key, lid, sketch, probe) arrays of all index and probe entries of the lines."""
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     length = np.fromiter(map(len, lines), np.int64, len(lines))
@@ -79,32 +80,33 @@ def keys(lines: list[str], lids: np.ndarray, powers: Powers, edits: int = EDITS)
         bit = (np.uint64(1) << (code & np.uint64(31))).astype(np.uint32)
         sketch = np.bitwise_xor.reduceat(bit, start)
 
-        def entry(at, size, cls, i):
+        def entry(at, size, cls, i, edits):
             h = (sums[at + size] - sums[at]) * powers.down[at]
-            return mix64(h + mix64(cls.astype(np.uint64) * np.uint64(2 * edits + 2) + np.uint64(i)))
+            return mix64(h + mix64(cls.astype(np.uint64) * np.uint64(2 * EDITS + 2) + np.uint64(i + (EDITS + 1) * (edits < EDITS))))
 
         key, who, probe = [], [], []
-        every = np.arange(len(lines))
-        for i, (p, size) in enumerate(segments(length, edits)):
-            key.append(entry(start + p, size, length, i))
-            who.append(every)
-            probe.append(np.zeros(len(lines), bool))
-        for less in range(edits + 1):
-            shorter = length - less
-            for i, (p, size) in enumerate(segments(shorter, edits)):
-                low, high = max(-i, less - (edits - i)), min(i, less + (edits - i))
-                for off in range(low, high + 1):
-                    at = p + off
-                    fine = (at >= 0) & (at + size <= length) & (shorter >= FUZZY)
-                    if fine.any():
-                        key.append(entry((start + at)[fine], size[fine], shorter[fine], i))
-                        who.append(every[fine])
-                        probe.append(np.ones(int(fine.sum()), bool))
+
+        def add(fine, at, size, cls, i, edits, probes):
+            if fine.any():
+                key.append(entry((start + at)[fine], size[fine], cls[fine], i, edits))
+                who.append(np.flatnonzero(fine))
+                probe.append(np.full(len(who[-1]), probes))
+
+        for edits, low, high in ((EDITS, FUZZY, length.max(initial=0)), (1, SHORT, FUZZY - 1)):
+            for i, (p, size) in enumerate(segments(length, edits)):
+                add((length >= low) & (length <= high), p, size, length, i, edits, False)
+            for less in range(edits + 1):
+                shorter = length - less
+                for i, (p, size) in enumerate(segments(shorter, edits)):
+                    least, most = max(-i, less - (edits - i)), min(i, less + (edits - i))
+                    for off in range(least, most + 1):
+                        at = p + off
+                        add((at >= 0) & (at + size <= length) & (shorter >= low) & (shorter <= high), at, size, shorter, i, edits, True)
     who = np.concatenate(who)
     return np.concatenate(key).view(np.int64), lids[who], sketch[who].view(np.int32), np.concatenate(probe)
 
 
-def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _entries(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
     powers, seen = Powers(), set()
     for b in batches:
         lines, lids, size = [], [], 0
@@ -116,7 +118,7 @@ def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in b["text"]:
             for x in text.split("\n") if isinstance(text, str) else ():
                 x = x.strip(" \t\n\x0b\f\r")
-                if len(x) < FUZZY:
+                if len(x) < least:
                     continue
                 h = xxhash.xxh64_intdigest(x.encode("utf-8", "replace"), 42)
                 if h in seen:  # a line that a partition repeats is entered once; others are told apart by the join
@@ -273,15 +275,19 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for lo in range(0, len(b), 4096):
             s = b.iloc[lo : lo + 4096]
-            yield s[within(s["x"].tolist(), s["y"].tolist(), EDITS)][["a", "b"]]
+            x, y = s["x"].tolist(), s["y"].tolist()
+            fine = within(x, y, EDITS)
+            some = np.flatnonzero(fine & (np.minimum(s["x"].str.len(), s["y"].str.len()).to_numpy() < FUZZY))
+            fine[some] = within([x[i] for i in some], [y[i] for i in some], 1)
+            yield s[fine][["a", "b"]]
 
 
-def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(a, b): the pairs of different lines, by lid, that are within EDITS edits of each other.
+def links(docs: DataFrame, lines: DataFrame, least: int = FUZZY) -> DataFrame:
+    """(a, b): the pairs of different lines, by lid, of least code points or more that are alike.
 
     lines is lines_of(docs). Lines of one text share a lid, so a frequent line is one line here.
     """
-    entries = docs.select("text").mapInPandas(_entries, "key long, lid long, sketch int, probe boolean")
+    entries = docs.select("text").mapInPandas(lambda batches: _entries(batches, least), "key long, lid long, sketch int, probe boolean")
     dealt = entries.repartition("key").sortWithinPartitions("key")
     pairs = kept(dealt.mapInPandas(_candidates, "a long, b long").distinct())
     # the texts of the lines in pairs: one place each, then the documents that hold them
@@ -298,7 +304,7 @@ def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
 def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((row, line) of lines that go, (row, n_links))."""
     lines = kept(lines_of(docs))
-    linked = links(docs, lines)
+    linked = links(docs, lines, SHORT)
     cls = connected_components(linked)
     own = lines.join(cls.withColumnRenamed("node", "lid"), "lid", "left").select("doc_id", "row", "line", "lid", F.coalesce("component", "lid").alias("class"))
     first = own.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "line")).alias("f")).where("n > 1")
@@ -313,7 +319,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
     n_lines counts all lines of the text, n_removed those that go because an earlier line, by document id and place, is of
     their class, n_links the links of the document's lines to lines of other wording. A null text has no lines and an
-    empty one a single line; lines under SHORTEST code points, empty ones among them, always stay. Rows with the same
+    empty one a single line; empty lines always stay. Rows with the same
     id and text are one document; rows with the same id and other texts, or with null ids, are documents of their own.
     Null ids come before all others, and documents of one id in the order of a hash of id and text.
     """

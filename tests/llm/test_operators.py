@@ -160,6 +160,35 @@ def test_lines_of_rows_with_one_id_or_none(spark):
     assert sorted(r["n_links"] for r in line_dedup.line_dedup(d).collect()) == [0, 0, 1, 1, 1]
 
 
+def test_short_lines_go_too(spark):
+    random.seed(5)
+    base = ["".join(random.choice("abcdefgh") for _ in range(random.randrange(14, 36))) for _ in range(30)]
+    def changed(x):
+        for _ in range(random.randrange(0, 3)):
+            k = random.randrange(len(x))
+            x = x[:k] + random.choice(["", "z", "zz"]) + x[k + 1 :]
+        return x
+    texts = ["\n".join([changed(random.choice(base)) for _ in range(5)] + ["Share", f"only here {i}", "", "é"]) for i in range(40)]
+    d = docs(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    all_ = sorted({x for t in texts for x in t.split("\n") if x})
+    near = lambda x, y: line_dedup._distance(x, y) <= min(2, min(len(x), len(y)) // 16)
+    pairs = [(x, y) for k, x in enumerate(all_) for y in all_[k + 1 :] if near(x, y)]
+    assert any(len(x) < 32 for p in pairs for x in p)
+    low = {x: x for x in all_}
+    for x, y in pairs:
+        a, b = low[x], low[y]
+        low = {k: min(a, b) if v in (a, b) else v for k, v in low.items()}
+    seen, want = set(), []
+    for t in texts:
+        stays = []
+        for x in t.split("\n"):
+            if not x or low[x] not in seen:
+                stays.append(x)
+            seen.add(low.get(x))
+        want.append("\n".join(stays))
+    assert [r["text"] for r in line_dedup.stage(spark, d, "").orderBy("doc_id").collect()] == want
+
+
 def test_near_duplicates_match_brute_force(spark):
     random.seed(3)
     base = [[f"{random.choice('abcdef')}{random.randrange(500)}" for _ in range(200)] for _ in range(15)]
