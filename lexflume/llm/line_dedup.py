@@ -301,34 +301,38 @@ def links(docs: DataFrame, lines: DataFrame, least: int = FUZZY) -> DataFrame:
     return kept(both.select("a", "b", "x", "y").mapInPandas(_verify, "a long, b long"))
 
 
-def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((row, line) of lines that go, (row, n_links))."""
+def members(docs: DataFrame) -> DataFrame:
+    """(row, m): for each document with lines whose class has others, their set of (line, class, gone, k).
+
+    class is the least lid of the class, k the number of links that the line has to lines of other wording.
+    """
     lines = kept(lines_of(docs))
     linked = links(docs, lines, SHORT)
-    cls = connected_components(linked)
-    own = lines.join(cls.withColumnRenamed("node", "lid"), "lid", "left").select("doc_id", "row", "line", "lid", F.coalesce("component", "lid").alias("class"))
-    first = own.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "line")).alias("f")).where("n > 1")
-    gone = own.join(first, "class").where("not (row = f.row and line = f.line)").select("row", "line").distinct()
     degree = linked.select(F.col("a").alias("lid")).union(linked.select("b")).groupBy("lid").agg(F.count(F.lit(1)).alias("k"))
-    n_links = lines.distinct().join(degree, "lid").groupBy("row").agg(F.sum("k").alias("n_links"))
-    return gone, n_links
+    cls = connected_components(linked).withColumnRenamed("node", "lid").join(degree, "lid")
+    own = lines.join(cls, "lid", "left").select("doc_id", "row", "line", F.coalesce("component", "lid").alias("class"), F.coalesce("k", F.lit(0)).alias("k"))
+    first = own.groupBy("class").agg(F.min(F.struct("doc_id", "row", "line")).alias("f"), F.max(F.struct("doc_id", "row", "line")).alias("l")).where("f.row <> l.row or f.line <> l.line")
+    own = own.join(first, "class").select("row", F.struct("line", "class", F.expr("not (row = f.row and line = f.line)").alias("gone"), "k").alias("m"))
+    return own.groupBy("row").agg(F.collect_set("m").alias("m"))  # of one document
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_removed, n_links, first_removed, last_removed) of each row of docs (doc_id, text).
+    """(doc_id, n_lines, n_removed, n_links, first_removed, last_removed, classes, removed) of each row of docs (doc_id, text).
 
     n_lines counts all lines of the text, n_removed those that go because an earlier line, by document id and place, is of
-    their class, n_links the links of the document's lines to lines of other wording. A null text has no lines and an
+    their class, n_links the links of the document's lines to lines of other wording. classes has the (line, class) of each line whose class
+    has other lines, in the order of lines, and removed the lines that go. A null text has no lines and an
     empty one a single line; empty lines always stay. Rows with the same
     id and text are one document; rows with the same id and other texts, or with null ids, are documents of their own.
     Null ids come before all others, and documents of one id in the order of a hash of id and text.
     """
-    gone, n_links = removed(docs)
-    per = gone.groupBy("row").agg(F.count(F.lit(1)).alias("n_removed"), F.min("line").alias("first_removed"), F.max("line").alias("last_removed"))
     base = docs.select(F.col("doc_id").cast("long"), row_key().alias("row"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("_n"))
-    base = base.withColumn("n_lines", F.greatest(F.col("_n"), F.lit(0))).drop("_n")
-    out = base.join(per, "row", "left").join(n_links, "row", "left")
-    return out.select("doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "first_removed", "last_removed")
+    m = F.array_sort(F.coalesce("m", F.array().cast("array<struct<line:int,class:bigint,gone:boolean,k:bigint>>")))
+    out = base.join(members(docs), "row", "left").withColumn("n_lines", F.greatest(F.col("_n"), F.lit(0))).withColumn("_m", m)
+    out = out.withColumn("removed", F.transform(F.filter("_m", lambda x: x["gone"]), lambda x: x["line"]))
+    n_links = F.aggregate("_m", F.lit(0).cast("long"), lambda s, x: s + x["k"]).alias("n_links")
+    classes = F.transform("_m", lambda x: F.struct(x["line"].alias("line"), x["class"].alias("class"))).alias("classes")
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), n_links, F.array_min("removed").alias("first_removed"), F.array_max("removed").alias("last_removed"), classes, "removed")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,8 +341,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without the lines that go; a document all of whose lines go stays with an empty text."""
-    gone, _ = removed(docs)
-    per = gone.groupBy(F.col("row").alias("_row")).agg(F.collect_set("line").alias("_gone"))  # of one document
+    gone = F.transform(F.filter("m", lambda x: x["gone"]), lambda x: x["line"])
+    per = members(docs).select(F.col("row").alias("_row"), gone.alias("_gone")).where(F.size("_gone") > 0)
     t = docs.join(per.hint("shuffle_hash"), row_key() == F.col("_row"), "left")
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     cut = F.col("_gone").isNotNull() & F.col("text").isNotNull()

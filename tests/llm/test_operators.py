@@ -189,6 +189,17 @@ def test_short_lines_go_too(spark):
     assert [r["text"] for r in line_dedup.stage(spark, d, "").orderBy("doc_id").collect()] == want
 
 
+def test_line_classes(spark):
+    a, b, c = "a line that has copies, and near ones", "a line that has copies, and neat ones", "short and equal"
+    rows = [(1, f"{a}\n{c}\nalone", "en", "s"), (2, f"x\n{b}\n\n{c}\n{a}", "en", "s"), (2, f"x\n{b}\n\n{c}\n{a}", "en", "s"), (3, None, "en", "s")]
+    got = {r["doc_id"]: r for r in line_dedup.line_dedup(docs(spark, rows)).collect()}
+    one, two = dict(got[1]["classes"]), dict(got[2]["classes"])
+    assert (list(one), list(two), got[3]["classes"]) == ([0, 1], [1, 3, 4], [])
+    assert one[0] == two[1] == two[4] and one[1] == two[3] and one[0] != one[1]
+    assert [got[i]["removed"] for i in (1, 2, 3)] == [[], [1, 3, 4], []]
+    assert [(got[i]["n_removed"], got[i]["n_links"]) for i in (1, 2, 3)] == [(0, 1), (3, 2), (0, 0)]
+
+
 def test_near_duplicates_match_brute_force(spark):
     random.seed(3)
     base = [[f"{random.choice('abcdef')}{random.randrange(500)}" for _ in range(200)] for _ in range(15)]
