@@ -1,8 +1,8 @@
 """Quality rules: base counts, and robust multivariate outliers per language and source.
 
 Every step is a DataFrame expression. Word statistics are array expressions within a row, so no text is shuffled.
-The statistics are transformed to stable variance; each (lang, source) group, or a pool of the small ones, gets a
-minimum-covariance-determinant estimate (Rousseeuw and Van Driessen, 1999): from two deterministic starts,
+The statistics are transformed to stable variance; each (lang, source) group, a pool of a language's small ones, or where
+that is small too the whole language or corpus, gets a minimum-covariance-determinant estimate (Rousseeuw and Van Driessen, 1999): from two deterministic starts,
 concentration steps refit mean and covariance on the nearest three quarters of the group's rows, and the start with
 the smaller determinant is kept. A row is rejected when its Mahalanobis distance under its group's estimate is
 beyond a cut-off.
@@ -19,6 +19,8 @@ from lexflume.llm.common import SPACE, kept, table
 
 #: The share of a group that an estimate rests on, its number of concentration steps, and the least rows of a group.
 SHARE, STEPS, LEAST = 0.75, 3, 60
+#: The least rows of a whole table for an estimate of its own.
+FEW = 20
 #: Squared distances beyond this are rejected. Text statistics have heavier tails than a normal, so this is far out.
 CUT = 70.0
 #: Words that short texts' shares are shrunk by towards the usual ones, and the least spread of a statistic.
@@ -145,8 +147,9 @@ def quality_rules(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataF
     """(keys, base counts, base_failed, distance, kept), a row per row of docs (keys, text, lang, source).
 
     A null text has no words and fails the base rule. Null languages and sources are groups of their own. Groups with
-    under LEAST rows that pass the base rule are pooled by language, and what is still under it into one pool; if even
-    that pool is under LEAST, its rows are judged by the base rule alone (distance null). Repeated rows are judged
+    under LEAST rows that pass the base rule are pooled by language. Rows of a pool that is still under it are judged by
+    the estimate of their whole language, if that has LEAST rows, or else of the whole table, and only in a table with
+    under FEW such rows by the base rule alone (distance null). Repeated rows are judged
     alike, row by row; other columns of docs are not looked at. An empty table gives an empty result.
     """
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -154,23 +157,30 @@ def quality_rules(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataF
     a = a.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).withColumns(statistics())
     a = kept(a.select(*keys, "lang", "source", *counts, "base_failed", *STATS, F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int").alias("salt")))
     rows = kept(_labelled(a, _labels(a.where("not base_failed"))))
-    fits = mcd(rows.where("not base_failed and g is not null").select("g", "salt", *STATS)).withColumnRenamed("n", "n_fit")
-    out = _distance(rows.join(_salted(fits), ["g", "salt"], "left"), len(STATS))
-    far = F.when(~F.col("base_failed") & (F.col("n_fit") >= SHARE * LEAST * 0.9), F.col("d2"))
+    fits = mcd(rows.where("not base_failed").select(F.explode("feeds").alias("g"), "salt", *STATS)).withColumnRenamed("n", "n_fit")
+    out = _distance(rows.drop("feeds").join(_salted(fits), ["g", "salt"], "left"), len(STATS))
+    far = F.when(~F.col("base_failed") & (F.col("n_fit") >= SHARE * FEW * 0.9), F.col("d2"))
     return out.select(*keys, *counts, "base_failed", far.alias("distance"), (~F.col("base_failed") & F.coalesce(far <= CUT, F.lit(True))).alias("kept"))
 
 
 def _labels(fine: DataFrame) -> DataFrame:
-    """(_lang, _source, g): the group that each language and source is estimated in."""
+    """(_lang, _source, g, feeds): the group each language and source is judged by, and the groups it is part of."""
     own = fine.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    by_lang = own.where(F.col("n") < LEAST).groupBy("lang").agg(F.sum("n").alias("pooled")).withColumnRenamed("lang", "_l")
+    small = F.when(F.col("n") < LEAST, F.col("n"))
+    by_lang = own.groupBy("lang").agg(F.sum(small).alias("pooled"), F.sum("n").alias("whole")).withColumnRenamed("lang", "_l")
+    by_lang = by_lang.withColumn("rest", F.coalesce(F.col("pooled") < LEAST, F.lit(False)))  # whether its pool is too small
+    any_ = by_lang.agg(F.coalesce(F.max(F.col("rest") & (F.col("whole") < LEAST)), F.lit(False)).alias("all_"))
     name = lambda *c: F.to_json(F.array(*[F.coalesce(F.col(x), F.lit("\0")) for x in c]))
-    g = F.when(F.col("n") >= LEAST, name("lang", "source")).when(F.col("pooled") >= LEAST, name("lang")).otherwise("pool")
-    return own.join(by_lang, F.expr("lang <=> _l"), "left").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), g.alias("g"))
+    whole = F.concat(F.lit("whole "), name("lang"))
+    first = F.when(F.col("n") >= LEAST, name("lang", "source")).when(F.col("pooled") >= LEAST, name("lang"))
+    g = F.coalesce(first, F.when(F.col("whole") >= LEAST, whole), F.lit("all"))
+    wide = F.array(first, F.when(F.col("rest") & (F.col("whole") >= LEAST), whole), F.when(F.col("all_"), F.lit("all")))
+    t = own.join(by_lang, F.expr("lang <=> _l"), "left").join(F.broadcast(any_))
+    return t.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), g.alias("g"), F.filter(wide, lambda x: x.isNotNull()).alias("feeds"))
 
 
 def _labelled(a: DataFrame, labels: DataFrame) -> DataFrame:
-    """a with the label g of its language and source; joined by salt besides, since one source may hold a third of all rows."""
+    """a with the labels g and feeds of its language and source; joined by salt besides, since one source may hold a third of all rows."""
     b = _salted(labels).withColumnRenamed("salt", "_salt")
     return a.join(b, F.expr("lang <=> _lang and source <=> _source and salt = _salt"), "left").drop("_lang", "_source", "_salt")
 

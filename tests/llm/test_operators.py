@@ -272,6 +272,19 @@ def test_lm_keeps_rare_n_grams_of_a_large_corpus(spark):
         assert math.isclose(r["score"], want, rel_tol=1e-9)
 
 
+def test_quality_rules_judge_small_groups(spark):
+    random.seed(6)
+    good = lambda: " ".join("".join(random.choice("abcdefgh") for _ in range(random.randrange(3, 9))) + random.choice(["", "", "", ","]) for _ in range(random.randrange(80, 120)))
+    junk = " ".join(f"#$%&{i}|<>*" for i in range(100))
+    big = [(i, good(), "en", "s") for i in range(100)]
+    rows = [*big, (200, junk, "en", "rare"), (201, good(), "en", "rare"), (202, junk, "xx", "rare"), (203, good(), None, None), (204, junk, None, None)]
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(docs(spark, rows)).collect()}
+    assert [got[i]["kept"] for i in (200, 201, 202, 203, 204)] == [False, True, False, True, False]
+    assert sum(got[i]["kept"] for i in range(100)) >= 95
+    few = {r["doc_id"]: r for r in quality_rules.quality_rules(docs(spark, [*big[:40], (200, junk, "en", "rare")])).collect()}
+    assert not few[200]["kept"] and sum(r["kept"] for r in few.values()) >= 38
+
+
 def test_classifier_ranks_held_out(spark):
     d = "/root/testdata/sf0.01"
     r = quality_classifier.op1_quality_classifier(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
