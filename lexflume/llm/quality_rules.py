@@ -3,9 +3,9 @@
 Every step is a DataFrame expression. Word statistics are array expressions within a row, so no text is shuffled.
 The statistics are transformed to stable variance; each (lang, source) group, a pool of a language's small ones, or where
 that is small too the whole language or corpus, gets a minimum-covariance-determinant estimate (Rousseeuw and Van Driessen, 1999): from two deterministic starts,
-concentration steps refit mean and covariance on the nearest three quarters of the group's rows, and the start with
-the smaller determinant is kept. A row is rejected when its Mahalanobis distance under its group's estimate is
-beyond a cut-off.
+concentration steps refit mean and covariance on the nearest half of the group's rows until the determinant stops
+falling, and the start with the smaller determinant is kept. A row is rejected when its Mahalanobis distance under its group's estimate is
+beyond the 0.999 quantile of the chi-square law.
 """
 
 from __future__ import annotations
@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from lexflume.llm.common import SPACE, kept, table
 
-#: The share of a group that an estimate rests on, its number of concentration steps, and the least rows of a group.
-SHARE, STEPS, LEAST = 0.75, 3, 60
+#: The share of a group that an estimate rests on, the most concentration steps, and the least rows of a group.
+SHARE, STEPS, LEAST = 0.5, 50, 60
 #: The least rows of a whole table for an estimate of its own.
 FEW = 20
-#: Squared distances beyond this are rejected. Text statistics have heavier tails than a normal, so this is far out.
-CUT = 70.0
+#: Concentration ends when no logarithm of a determinant falls by more.
+CLOSE = 1e-3
+#: Squared distances beyond this quantile of the chi-square law are rejected.
+LAW = 0.999
 #: Words that short texts' shares are shrunk by towards the usual ones, and the least spread of a statistic.
 PRIOR, FLOOR = 20.0, 0.03
 SALTS = 32
@@ -98,21 +100,26 @@ def _salted(p: DataFrame) -> DataFrame:
     return p.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def _consistency(d: int, share: float) -> float:
-    """What the covariance of the nearest share of normal rows must be multiplied by."""
+def _law(x: float, k: int) -> float:
+    """The distribution function of chi-square with k degrees of freedom, by its series."""
+    a, total, term = k / 2, 0.0, 1.0
+    for n in range(400):
+        total += term
+        term *= x / 2 / (a + n + 1)
+    return math.exp(a * math.log(x / 2) - x / 2 - math.lgamma(a + 1)) * total
 
-    def cdf(x: float, k: int) -> float:  # of chi-square with k degrees of freedom, by its series
-        a, total, term = k / 2, 0.0, 1.0
-        for n in range(400):
-            total += term
-            term *= x / 2 / (a + n + 1)
-        return math.exp(a * math.log(x / 2) - x / 2 - math.lgamma(a + 1)) * total
 
+def _quantile(share: float, k: int) -> float:
     low, high = 1e-9, 200.0
     for _ in range(200):
         mid = (low + high) / 2
-        low, high = (mid, high) if cdf(mid, d) < share else (low, mid)
-    return share / cdf(low, d + 2)
+        low, high = (mid, high) if _law(mid, k) < share else (low, mid)
+    return low
+
+
+def _consistency(d: int, share: float) -> float:
+    """What the covariance of the nearest share of normal rows must be multiplied by."""
+    return share / _law(_quantile(share, d), d + 2)
 
 
 def mcd(rows: DataFrame) -> DataFrame:
@@ -130,15 +137,19 @@ def mcd(rows: DataFrame) -> DataFrame:
     # two starts: the nearest rows by the sum of squares and by the largest coordinate
     t = t.select("g", "salt", *STATS, F.explode(F.array(F.struct(F.lit(0).alias("start"), sum((v * v for v in z), F.lit(0.0)).alias("d2")), F.struct(F.lit(1).alias("start"), F.greatest(*z).alias("d2")))).alias("s")).select("g", "salt", *STATS, "s.*")
     key, factor, params = ["g", "start", "salt"], _consistency(d, SHARE), None
-    for step in range(STEPS):
+    both = rows.select("g", "salt", *STATS, F.explode(F.array(F.lit(0), F.lit(1))).alias("start"))
+    for _ in range(STEPS):
         limit = t.groupBy("g", "start").agg(F.percentile_approx("d2", SHARE, 1000).alias("most"))
         near = t.join(_salted(limit), key).where("d2 <= most")
         sums = near.groupBy("g", "start").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"m_{i}") for i, x in enumerate(STATS)], *[F.sum(F.col(STATS[i]) * F.col(STATS[j])).alias(f"c_{i}_{j}") for i, j in _pairs(d)])
         sums = sums.withColumns({f"m_{i}": F.col(f"m_{i}") / F.col("n") for i in range(d)})
         sums = sums.withColumns({f"c_{i}_{j}": (F.col(f"c_{i}_{j}") / F.col("n") - F.col(f"m_{i}") * F.col(f"m_{j}")) * factor + (FLOOR * FLOOR if i == j else 0.0) for i, j in _pairs(d)})
-        params = kept(_cholesky(sums, d).drop(*[f"c_{i}_{j}" for i, j in _pairs(d)]))
-        if step + 1 < STEPS:
-            t = _distance(t.drop("d2").join(_salted(params.drop("n", "logdet")), key), d).select("g", "salt", "start", *STATS, "d2")
+        last, params = params, kept(_cholesky(sums, d).drop(*[f"c_{i}_{j}" for i, j in _pairs(d)]))
+        if last is not None:
+            fell = params.join(last.select("g", "start", F.col("logdet").alias("_was")), ["g", "start"]).agg(F.max(F.col("_was") - F.col("logdet"))).first()[0]
+            if fell is None or fell <= CLOSE:
+                break
+        t = _distance(both.join(_salted(params.drop("n", "logdet")), key), d).select("g", "salt", "start", *STATS, "d2")
     best = params.groupBy("g").agg(F.min_by(F.struct("start", *[c for c in params.columns if c not in ("g", "start")]), F.struct("logdet", "start")).alias("p"))
     return best.select("g", "p.*").drop("start", "logdet")
 
@@ -160,7 +171,7 @@ def quality_rules(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataF
     fits = mcd(rows.where("not base_failed").select(F.explode("feeds").alias("g"), "salt", *STATS)).withColumnRenamed("n", "n_fit")
     out = _distance(rows.drop("feeds").join(_salted(fits), ["g", "salt"], "left"), len(STATS))
     far = F.when(~F.col("base_failed") & (F.col("n_fit") >= SHARE * FEW * 0.9), F.col("d2"))
-    return out.select(*keys, *counts, "base_failed", far.alias("distance"), (~F.col("base_failed") & F.coalesce(far <= CUT, F.lit(True))).alias("kept"))
+    return out.select(*keys, *counts, "base_failed", far.alias("distance"), (~F.col("base_failed") & F.coalesce(far <= _quantile(LAW, len(STATS)), F.lit(True))).alias("kept"))
 
 
 def _labels(fine: DataFrame) -> DataFrame:

@@ -285,6 +285,18 @@ def test_quality_rules_judge_small_groups(spark):
     assert not few[200]["kept"] and sum(r["kept"] for r in few.values()) >= 38
 
 
+def test_quality_rules_are_not_masked(spark):
+    """Junk that is three tenths of its group must not be inside the group's own estimate."""
+    random.seed(7)
+    good = lambda: " ".join("".join(random.choice("abcdefgh") for _ in range(random.randrange(3, 9))) + random.choice(["", "", "", ","]) for _ in range(random.randrange(80, 120)))
+    junk = lambda: " ".join(f"#$%&{random.randrange(10**6)}|<>*" for _ in range(100))
+    rows = [(i, junk() if i % 10 < 3 else good(), "en", "s") for i in range(300)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(docs(spark, rows)).collect()}
+    assert not any(got[i] for i in range(300) if i % 10 < 3)
+    assert sum(got[i] for i in range(300) if i % 10 >= 3) >= 200
+    assert math.isclose(quality_rules._quantile(0.999, 5), 20.515, abs_tol=1e-3)
+
+
 def test_classifier_ranks_held_out(spark):
     d = "/root/testdata/sf0.01"
     r = quality_classifier.op1_quality_classifier(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
