@@ -17,10 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in ``spark.checkpoint.dir``; only where that is unset (tests) one is made."""
+    """The folder that the session names in ``spark.checkpoint.dir``; where that is unset one is made, in local mode only."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexflume-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexflume-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -33,6 +36,16 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def split_join(rows: DataFrame, of: DataFrame, key: str, n: str, total: int, share: int = 1000) -> DataFrame:
+    """rows joined to the one row that of has for their key; n is how many of the total rows have that key.
+
+    Keys with more than total / share rows are fewer than share, so they are broadcast, and no task gets such a key's rows.
+    """
+    hot = of.where(F.col(n) * share > total)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(of.where(F.col(n) * share <= total), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
 def held_out(doc_id, folds: int, fold: int):
     """Whether crc32 of the id as text falls in the fold."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == fold

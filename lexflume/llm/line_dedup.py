@@ -5,9 +5,11 @@ alike within EDITS edits, those from SHORT within one edit, shorter ones if they
 decides. Two lines within t edits share one of the t + 1
 segments that the shorter is cut into, at a place that t bounds (Li, Deng, Wang and Feng, 2011): each line is indexed by
 its own segments, and probes those of lines of its length and up to t less with the substrings that multi-match-aware
-selection leaves. Keys hold length, segment and a hash of its text. What shares a key is filtered by a parity sketch
-that an edit changes in at most two bits, and verified with a banded bit-parallel edit distance (Hyyro, 2003), many
-pairs at a time. Linked lines form classes; a class's first line, by document id and place, stays.
+selection leaves. Keys hold length, segment and a hash of its text. Of what shares a key, the lines that have another
+whose parity sketch is near (an edit changes at most two of its bits) meet again with their texts, in blocks, and each
+pair is verified with a banded bit-parallel edit distance (Hyyro, 2003) under the least of the keys that it shares. No
+pair is a row: a line gives its number of links there, and one link to the first line of those it hangs together with.
+Linked lines form classes; a class's first line, by document id and place, stays.
 """
 
 from __future__ import annotations
@@ -20,11 +22,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm.common import SPACE, connected_components, kept, mix64, table
+from lexflume.llm.common import connected_components, kept, mix64, split_join, table
 
 EDITS, SHORT, FUZZY = 2, 16, 32
-#: Pairs of one key that are compared at once; beyond it they are first joined on pieces of their sketches.
+#: Sketches, or keys of pairs, that are compared at once.
 MANY = 1 << 16
+#: Lines, and code points of lines, of one key that meet in a task with as many others.
+BLOCK, POINTS = 2048, 1 << 22
+#: Entries of a key that a task gathers to compare sketches; a key with more is cut into blocks of as many.
+GATHER = 1 << 20
 #: Code points hashed at once.
 CHUNK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -141,73 +147,202 @@ def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y) <= 2 * EDITS
 
 
-def _join(index: tuple[np.ndarray, np.ndarray], probe: tuple[np.ndarray, np.ndarray], depth: int = 0) -> Iterator[np.ndarray]:
-    """Pairs (index lid, probe lid) of one key whose sketches are near."""
-    (a, sa), (b, sb) = index, probe
-    if len(a) * len(b) <= MANY or depth:
-        for lo in range(0, len(a), max(1, MANY // max(1, len(b)))):
-            x = slice(lo, lo + max(1, MANY // max(1, len(b))))
-            i, j = np.nonzero(_near(sa[x, None], sb[None, :]))
-            i = i + lo
-            own = a[i] != b[j]
-            yield np.stack([a[i][own], b[j][own]], axis=1)
-        return
-    # sketches with at most 2 EDITS unlike bits agree on one of 2 EDITS + 1 pieces: join on each piece's value
-    pieces = 2 * EDITS + 1
-    width = -(-32 // pieces)
-    for p in range(pieces):
-        va, vb = (sa >> np.uint32(p * width)) & np.uint32((1 << width) - 1), (sb >> np.uint32(p * width)) & np.uint32((1 << width) - 1)
-        oa, ob = np.argsort(va, kind="stable"), np.argsort(vb, kind="stable")
-        ua, ia = np.unique(va[oa], return_index=True)
-        for u, lo, hi in zip(ua, ia, [*ia[1:], len(va)], strict=True):
-            f, t = np.searchsorted(vb[ob], u, "left"), np.searchsorted(vb[ob], u, "right")
-            if f < t:
-                yield from _join((a[oa[lo:hi]], sa[oa[lo:hi]]), (b[ob[f:t]], sb[ob[f:t]]), 1)
-
-
-def _once(lid: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    lid, at = np.unique(lid, return_index=True)
-    return lid, sketch[at]
-
-
-def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Near pairs of rows sorted by key; a key's rows may span batches."""
-    held: list[tuple[np.ndarray, ...]] = []
-
-    def pairs(key, lid, sketch, probe):
-        new = np.flatnonzero(key[1:] != key[:-1]) + 1
-        first = np.concatenate([[0], new])
-        count = np.diff(np.concatenate([first, [len(key)]]))
-        some = np.flatnonzero(count > 1)
-        out = []
-        small = some[count[some] == 2]  # most groups that hold anything
-        i, j = first[small], first[small] + 1
-        fine = (probe[i] != probe[j]) & (lid[i] != lid[j]) & _near(sketch[i], sketch[j])
-        out.append(np.stack([lid[i][fine], lid[j][fine]], axis=1))
-        for g in some[count[some] > 2]:
-            x = slice(first[g], first[g] + count[g])
-            p = probe[x]
-            if p.all() or not p.any():
-                continue
-            out += _join(_once(lid[x][~p], sketch[x][~p]), _once(lid[x][p], sketch[x][p]))
-        r = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        r = np.unique(np.sort(r, axis=1), axis=0)
-        return pd.DataFrame({"a": r[:, 0], "b": r[:, 1]})
+def _starts(b: pd.DataFrame, names: list[str]) -> np.ndarray:
+    """The first rows of the groups of a frame that is sorted by names."""
+    new = np.zeros(len(b), bool)
+    new[:1] = True
+    for c in names:
+        x = b[c].to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
 
+
+def _groups(batches: Iterator[pd.DataFrame], names: list[str], most: int | None = None) -> Iterator[tuple[pd.DataFrame, bool]]:
+    """Frames of whole groups of rows that are sorted by names, and True; rows of a group beyond most come as they are, with False."""
+    held: list[pd.DataFrame] = []
+    passing = False  # whether the held group is beyond the bound
     for b in batches:
-        cols = (b["key"].to_numpy(), b["lid"].to_numpy(), b["sketch"].to_numpy().view(np.uint32), b["probe"].to_numpy())
         if not len(b):
             continue
-        last = int(np.searchsorted(cols[0], cols[0][-1], "left"))  # rows of the last key wait for the next batch
-        if last == 0 and held and held[-1][0][-1] == cols[0][0]:
-            held.append(cols)
-            continue
-        ready = [*held, tuple(c[:last] for c in cols)]
-        held = [tuple(c[last:] for c in cols)]
-        if ready and sum(len(r[0]) for r in ready):
-            yield pairs(*(np.concatenate(c) for c in zip(*ready, strict=True)))
+        starts = _starts(b, names)
+        if held and any(held[-1][c].iloc[-1] != b[c].iloc[0] for c in names):
+            yield pd.concat(held, ignore_index=True), not passing
+            held, passing = [], False
+        if len(starts) > 1:
+            head = b.iloc[: starts[1]]  # of the held group
+            if held and passing:
+                yield pd.concat([*held, head], ignore_index=True), False
+                ready = b.iloc[starts[1] : starts[-1]]
+            else:
+                ready = pd.concat([*held, b.iloc[: starts[-1]]], ignore_index=True)
+            if len(ready):
+                yield ready, True
+            held, passing, b = [], False, b.iloc[starts[-1] :]
+        held.append(b)
+        if most is not None and (passing or sum(map(len, held)) > most):
+            passing = True
+            while len(held) > 1 or len(held[0]) > 1:  # a row stays, to tell what group this is
+                yield pd.concat([*held[:-1], held[-1].iloc[:-1]], ignore_index=True), False
+                held = [held[-1].iloc[-1:]]
     if held:
-        yield pairs(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        yield pd.concat(held, ignore_index=True), not passing
+
+
+def _members(lid: np.ndarray, sketch: np.ndarray, role: np.ndarray) -> np.ndarray:
+    """(lid, sketch, role) of those of one key's lines that another, in the other role, is near."""
+    lid, at, of = np.unique(lid, return_index=True, return_inverse=True)
+    if len(lid) < 2:
+        return np.zeros((3, 0), np.int64)
+    roles = np.zeros(len(lid), np.int64)
+    np.bitwise_or.at(roles, of, role)
+    kinds, kind = np.unique(sketch[at], return_inverse=True)  # lines with one sketch are compared as one
+    of_kind, n = np.zeros(len(kinds), np.int64), np.bincount(kind)
+    np.bitwise_or.at(of_kind, kind, roles)
+    index, probes, near = np.flatnonzero(of_kind & 1), np.flatnonzero(of_kind & 2), np.zeros(len(kinds), bool)
+    step = max(1, MANY // max(1, len(probes)))
+    for lo in range(0, len(index), step):
+        i = index[lo : lo + step]
+        m = _near(kinds[i, None], kinds[None, probes]) & ((i[:, None] != probes[None, :]) | (n[i] > 1)[:, None])
+        near[i] |= m.any(axis=1)
+        near[probes[m.any(axis=0)]] = True
+    fine = near[kind]
+    return np.stack([lid[fine], sketch[at][fine].view(np.int32).astype(np.int64), roles[fine]])
+
+
+CANDIDATE = "key long, lid long, sketch int, role int, whole boolean"
+
+
+def _frame(key, rows: np.ndarray, whole: bool) -> pd.DataFrame:
+    return pd.DataFrame({"key": key, "lid": rows[0], "sketch": rows[1].astype(np.int32), "role": rows[2].astype(np.int32), "whole": whole})
+
+
+def _candidates(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Of entries sorted by key the lines that have near ones under a key; all entries of a key with more than most."""
+    for b, whole in _groups(batches, ["key"], most):
+        key, lid, sketch, role = b["key"].to_numpy(), b["lid"].to_numpy(), b["sketch"].to_numpy().view(np.uint32), np.where(b["probe"].to_numpy(bool), 2, 1)
+        if not whole:
+            yield _frame(key, np.stack([lid, sketch.view(np.int32).astype(np.int64), role]), False)
+            continue
+        first = _starts(b, ["key"])
+        count = np.diff(np.append(first, len(key)))
+        small = first[count == 2]  # most groups that hold anything
+        fine = small[(role[small] != role[small + 1]) & (lid[small] != lid[small + 1]) & _near(sketch[small], sketch[small + 1])]
+        both = np.concatenate([fine, fine + 1])
+        keys_, out = [key[both]], [np.stack([lid[both], sketch[both].view(np.int32).astype(np.int64), role[both]])]
+        for g, n in zip(first[count > 2], count[count > 2], strict=True):
+            r = role[g : g + n]
+            if r.min() != r.max():
+                out.append(_members(lid[g : g + n], sketch[g : g + n], r))
+                keys_.append(np.full(out[-1].shape[1], key[g]))
+        yield _frame(np.concatenate(keys_), np.concatenate(out, axis=1), True)
+
+
+def _blocked(rows: DataFrame, size: int, points: int = 1) -> DataFrame:
+    """rows (key, lid, points, ...) with lo, hi and block: each two blocks of a key's rows meet under one (key, lo, hi)."""
+    salt = F.pmod(F.xxhash64("lid"), F.lit(64)).cast("int")
+    n = F.greatest(F.ceil(F.count(F.lit(1)) / size), F.ceil(F.sum("points") / points)).cast("int")
+    many = rows.groupBy("key").agg(n.alias("_n")).where("_n > 1").withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    r = rows.withColumn("_s", salt).join(many, ["key", "_s"], "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    r = r.withColumn("block", F.pmod(F.xxhash64("lid", F.lit(1)), F.col("_n")).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    return r.withColumns({"lo": F.least("block", "_o"), "hi": F.greatest("block", "_o")}).drop("_s", "_n", "_o", "points")
+
+
+def _pairs(lo: int, hi: int, block: np.ndarray, role: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of two lines of a key, one as index and one as probe, whose sketches are near."""
+    first, second = (np.arange(len(block)),) * 2 if lo == hi else (np.flatnonzero(block == lo), np.flatnonzero(block == hi))
+    step = max(1, MANY // max(1, len(second)))
+    for at in range(0, len(first), step):
+        i = first[at : at + step]
+        swapped = (role >> 1) | ((role & 1) << 1)
+        m = _near(sketch[i, None], sketch[None, second]) & ((role[i, None] & swapped[None, second]) > 0)
+        if lo == hi:
+            m &= i[:, None] < second[None, :]
+        x, y = np.nonzero(m)
+        if len(x):
+            yield i[x], second[y]
+
+
+def _big(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What _candidates does, for blocks of the keys with more than GATHER entries; a line may come from several."""
+    for b, _ in _groups(batches, ["key", "lo", "hi"]):
+        for g in np.split(np.arange(len(b)), _starts(b, ["key", "lo", "hi"])[1:]):
+            lid, sketch, role = b["lid"].to_numpy()[g], b["sketch"].to_numpy()[g].view(np.uint32), b["role"].to_numpy()[g]
+            out = _members(lid, sketch, role)
+            yield _frame(np.full(out.shape[1], b["key"].iloc[g[0]]), out, True)
+
+
+_NONE = np.iinfo(np.int64).min
+
+
+def _table(who: np.ndarray, key: np.ndarray, n: int, empty: int) -> np.ndarray:
+    """A row of keys per line, filled up with a value."""
+    order = np.argsort(who, kind="stable")
+    who, key = who[order], key[order]
+    at = np.arange(len(who)) - np.searchsorted(who, who)
+    out = np.full((n, int(at.max(initial=0)) + 1), empty, np.int64)
+    out[who, at] = key
+    return out
+
+
+def alike(xs: list[str], ys: list[str]) -> np.ndarray:
+    """Whether each pair of lines is within the edits that the shorter one allows."""
+    fine = within(xs, ys, EDITS)
+    some = np.array([i for i in np.flatnonzero(fine) if min(len(xs[i]), len(ys[i])) < FUZZY], np.int64)
+    if len(some):
+        fine[some] = within([xs[i] for i in some], [ys[i] for i in some], 1)
+    return fine
+
+
+def _linked(key: int, lo: int, hi: int, g: pd.DataFrame, powers: Powers) -> pd.DataFrame:
+    """(a, b, k) of lines with links: b is the first of the lines that a hangs together with here, k its number of links.
+
+    A pair counts under the least of the keys that it shares in unlike roles, so once among all keys.
+    """
+    xs, lid, n = g["x"].tolist(), g["lid"].to_numpy(), len(g)
+    entry, who, sketch, probe = keys(xs, np.arange(n), powers)
+    index, probes = _table(who[~probe], entry[~probe], n, _NONE), _table(who[probe], entry[probe], n, _NONE + 1)
+    of = np.zeros(n, np.uint32)
+    of[who] = sketch.view(np.uint32)
+    left, right = [], []
+    top = np.iinfo(np.int64).max
+    for i, j in _pairs(lo, hi, g["block"].to_numpy(), g["role"].to_numpy(), of):
+        for at in range(0, len(i), 4096):
+            a, b = i[at : at + 4096], j[at : at + 4096]
+            least = np.full(len(a), top)
+            for x, y in ((a, b), (b, a)):
+                for c in range(index.shape[1]):
+                    v = index[x, c]
+                    least = np.minimum(least, np.where((probes[y] == v[:, None]).any(axis=1), v, top))
+            own = np.flatnonzero(least == key)
+            a, b = a[own], b[own]
+            if len(a):
+                fine = alike([xs[k] for k in a], [xs[k] for k in b])
+                left.append(a[fine])
+                right.append(b[fine])
+    if not left:
+        return pd.DataFrame({"a": [], "b": [], "k": []}, dtype="int64")
+    a, b = np.concatenate(left), np.concatenate(right)
+    k, label = np.bincount(a, minlength=n) + np.bincount(b, minlength=n), np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    some = np.flatnonzero(k)
+    return pd.DataFrame({"a": lid[some], "b": lid[label[some]], "k": k[some].astype(np.int64)})
+
+
+def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names, powers = ["key", "lo", "hi"], Powers()
+    for b, _ in _groups(batches, names):
+        first = _starts(b, names)
+        for s, e in zip(first, np.append(first[1:], len(b)), strict=True):
+            if e - s > 1:
+                yield _linked(*(int(b[c].iloc[s]) for c in names), b.iloc[s:e], powers)
 
 
 def _distance(x: str, y: str) -> int:
@@ -233,8 +368,12 @@ def within(xs: list[str], ys: list[str], edits: int) -> np.ndarray:
         out[i] = _distance(xs[i], ys[i]) <= edits
     todo = np.flatnonzero(out & (np.minimum(la, lb) > edits))
     todo = todo[np.argsort(lb[todo], kind="stable")]
-    for lo in range(0, len(todo), 2048):
-        some = todo[lo : lo + 2048]
+    lo = 0
+    while lo < len(todo):
+        # many pairs at a time; of long lines, fewer
+        wide = np.maximum(la[todo[lo : lo + 2048]], lb[todo[lo : lo + 2048]])
+        some = todo[lo : lo + max(1, int((np.maximum.accumulate(wide) * np.arange(1, len(wide) + 1) <= POINTS).sum()))]
+        lo += len(some)
         m, wide = len(some), int(max(la[some].max(), lb[some].max()))
 
         def table_(strings, pad):
@@ -271,34 +410,32 @@ def within(xs: list[str], ys: list[str], edits: int) -> np.ndarray:
     return out
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        for lo in range(0, len(b), 4096):
-            s = b.iloc[lo : lo + 4096]
-            x, y = s["x"].tolist(), s["y"].tolist()
-            fine = within(x, y, EDITS)
-            some = np.flatnonzero(fine & (np.minimum(s["x"].str.len(), s["y"].str.len()).to_numpy() < FUZZY))
-            fine[some] = within([x[i] for i in some], [y[i] for i in some], 1)
-            yield s[fine][["a", "b"]]
+def links(docs: DataFrame, lines: DataFrame, least: int = SHORT) -> DataFrame:
+    """(a, b, k): lines, by lid, of least code points or more that are alike to others.
 
-
-def links(docs: DataFrame, lines: DataFrame, least: int = FUZZY) -> DataFrame:
-    """(a, b): the pairs of different lines, by lid, of least code points or more that are alike.
-
-    lines is lines_of(docs). Lines of one text share a lid, so a frequent line is one line here.
+    A line may have several rows: its links are the sum of k, and the pairs a, b hang together what links do. lines is
+    lines_of(docs). Lines of one text share a lid, so a frequent line is one line here.
     """
     entries = docs.select("text").mapInPandas(lambda batches: _entries(batches, least), "key long, lid long, sketch int, probe boolean")
-    dealt = entries.repartition("key").sortWithinPartitions("key")
-    pairs = kept(dealt.mapInPandas(_candidates, "a long, b long").distinct())
-    # the texts of the lines in pairs: one place each, then the documents that hold them
-    wanted = pairs.select(F.col("a").alias("lid")).union(pairs.select("b")).distinct()
+    gather = GATHER
+    some = kept(entries.repartition("key").sortWithinPartitions("key").mapInPandas(lambda batches: _candidates(batches, gather), CANDIDATE))
+    many = some.where("not whole").withColumn("points", F.lit(1))
+    if many.take(1):
+        order = ["key", "lo", "hi"]
+        found = _blocked(many.drop("whole").groupBy("key", "lid", "sketch").agg(F.bit_or("role").alias("role"), F.first("points").alias("points")), GATHER)
+        found = found.select("lid", "sketch", "role", *order).repartition(*order).sortWithinPartitions(*order).mapInPandas(_big, CANDIDATE)
+        some = some.where("whole").unionByName(found.groupBy("key", "lid", "sketch").agg(F.max("role").alias("role"), F.lit(True).alias("whole")))
+    # the texts of these lines: one place each, then the documents that hold them
+    wanted = some.select("lid").distinct()
     place = lines.join(wanted, "lid", "left_semi").groupBy("lid").agg(F.min(F.struct("row", "line")).alias("p"))
     per = place.groupBy(F.col("p.row").alias("_row")).agg(F.collect_list(F.struct("lid", F.col("p.line").alias("line"))).alias("w"))  # of one document
     d = docs.select(row_key().alias("row"), "text").join(per.hint("shuffle_hash"), F.col("row") == F.col("_row"))
     texts = d.select(F.split("text", "\n").alias("t"), F.explode("w").alias("w")).select(F.col("w.lid").alias("lid"), F.trim(F.get("t", F.col("w.line")), F.lit(" \t\n\x0b\f\r")).alias("x"))
     texts = kept(texts.where("x is not null and xxhash64(x) = lid").dropDuplicates(["lid"]))
-    both = pairs.join(texts.select(F.col("lid").alias("a"), "x"), "a").join(texts.select(F.col("lid").alias("b"), F.col("x").alias("y")), "b")
-    return kept(both.select("a", "b", "x", "y").mapInPandas(_verify, "a long, b long"))
+    sized = some.select("key", "lid", "role").join(texts.select("lid", F.length("x").alias("points")), "lid")
+    order = ["key", "lo", "hi"]
+    dealt = _blocked(sized, BLOCK, POINTS).join(texts, "lid").select("lid", "role", "block", "x", *order)
+    return kept(dealt.repartition(*order).sortWithinPartitions(*order).mapInPandas(_verify, "a long, b long, k long"))
 
 
 def members(docs: DataFrame) -> DataFrame:
@@ -307,12 +444,18 @@ def members(docs: DataFrame) -> DataFrame:
     class is the least lid of the class, k the number of links that the line has to lines of other wording.
     """
     lines = kept(lines_of(docs))
-    linked = links(docs, lines, SHORT)
-    degree = linked.select(F.col("a").alias("lid")).union(linked.select("b")).groupBy("lid").agg(F.count(F.lit(1)).alias("k"))
-    cls = connected_components(linked).withColumnRenamed("node", "lid").join(degree, "lid")
-    own = lines.join(cls, "lid", "left").select("doc_id", "row", "line", F.coalesce("component", "lid").alias("class"), F.coalesce("k", F.lit(0)).alias("k"))
-    first = own.groupBy("class").agg(F.min(F.struct("doc_id", "row", "line")).alias("f"), F.max(F.struct("doc_id", "row", "line")).alias("l")).where("f.row <> l.row or f.line <> l.line")
-    own = own.join(first, "class").select("row", F.struct("line", "class", F.expr("not (row = f.row and line = f.line)").alias("gone"), "k").alias("m"))
+    linked = links(docs, lines)
+    degree = linked.groupBy(F.col("a").alias("lid")).agg(F.sum("k").alias("k"))
+    cls = connected_components(linked.select("a", "b")).withColumnRenamed("node", "lid").join(degree, "lid")
+    place = F.struct("doc_id", "row", "line")
+    each = lines.groupBy("lid").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("f"), F.max(place).alias("l")).join(cls, "lid", "left").where("f.row <> l.row or f.line <> l.line or component is not null")
+    each = kept(each.select("lid", "n", "f", "component", F.coalesce("k", F.lit(0)).alias("k")))
+    near = each.where("component is not null")
+    first = near.groupBy("component").agg(F.count(F.lit(1)).alias("_m"), F.min("f").alias("_f"))
+    near = split_join(near, first, "component", "_m", near.count()).select("lid", "n", F.col("_f").alias("f"), F.col("component").alias("class"), "k")
+    info = kept(near.unionByName(each.where("component is null").select("lid", "n", "f", F.col("lid").alias("class"), "k")))
+    own = split_join(lines.select("row", "line", "lid"), info, "lid", "n", lines.count())
+    own = own.select("row", F.struct("line", "class", F.expr("not (row = f.row and line = f.line)").alias("gone"), "k").alias("m"))
     return own.groupBy("row").agg(F.collect_set("m").alias("m"))  # of one document
 
 
@@ -340,7 +483,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without the lines that go; a document all of whose lines go stays with an empty text."""
+    """docs without the lines that go; a document all of whose lines go stays with an empty text.
+
+    Null texts stay null, and empty ones empty. Rows with one id and text lose the same lines; rows with the same id, or
+    null ids, and other texts are documents of their own. Columns beside doc_id and text stay as they are, but for
+    n_chars, which is that of the new text. An empty table gives an empty one.
+    """
     gone = F.transform(F.filter("m", lambda x: x["gone"]), lambda x: x["line"])
     per = members(docs).select(F.col("row").alias("_row"), gone.alias("_gone")).where(F.size("_gone") > 0)
     t = docs.join(per.hint("shuffle_hash"), row_key() == F.col("_row"), "left")

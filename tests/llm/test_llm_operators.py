@@ -145,7 +145,25 @@ def test_line_links_match_brute_force(spark):
     lines = line_dedup.lines_of(d)
     all_ = sorted({x.strip() for t in texts for x in t.split("\n") if len(x.strip()) >= line_dedup.FUZZY})
     want = sum(line_dedup._distance(x, y) <= 2 for k, x in enumerate(all_) for y in all_[k + 1 :])
-    assert line_dedup.links(d, lines).count() == want > 0
+    got = line_dedup.links(d, lines, line_dedup.FUZZY).groupBy().sum("k").first()[0]
+    assert got == 2 * want > 0
+
+
+@pytest.mark.parametrize(("block", "gather", "points"), [(2048, 1 << 20, 1 << 22), (16, 1 << 20, 1 << 22), (2048, 20, 900), (7, 9, 1 << 22)])
+def test_links_of_a_large_group_are_counted_not_listed(spark, monkeypatch, block, gather, points):
+    for k, v in (("BLOCK", block), ("GATHER", gather), ("POINTS", points)):
+        monkeypatch.setattr(line_dedup, k, v)
+    random.seed(8)
+    all_ = sorted({"the very same line but for a number of digits " + "".join(random.choice("01") for _ in range(8)) for _ in range(120)})
+    d = docs(spark, [(i, x, "en", "s") for i, x in enumerate(all_)])
+    near = collections.Counter()
+    for i, x in enumerate(all_):
+        for j in range(i):
+            if line_dedup._distance(x, all_[j]) <= 2:
+                near.update((i, j))
+    assert line_dedup.links(d, line_dedup.lines_of(d)).count() < 15 * len(all_) < sum(near.values())
+    got = {r["doc_id"]: r["n_links"] for r in line_dedup.line_dedup(d).collect()}
+    assert got == {i: near[i] for i in range(len(all_))}
 
 
 def test_lines_of_rows_with_one_id_or_none(spark):
