@@ -247,19 +247,16 @@ def _blocked(rows: DataFrame, size: int, points: int = 1) -> DataFrame:
     return r.withColumns({"lo": F.least("block", "_o"), "hi": F.greatest("block", "_o")}).drop("_s", "_n", "_o", "points")
 
 
-def _pairs(lo: int, hi: int, block: np.ndarray, role: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs of two lines of a key, one as index and one as probe, whose sketches are near."""
-    first, second = (np.arange(len(block)),) * 2 if lo == hi else (np.flatnonzero(block == lo), np.flatnonzero(block == hi))
-    step = max(1, MANY // max(1, len(second)))
+def _pairs(one: bool, first: np.ndarray, second: np.ndarray, role: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a row of first and one of second, one as index and one as probe, whose sketches are near; one: both are the same rows."""
+    step, swapped = max(1, MANY // max(1, len(second))), (role >> 1) | ((role & 1) << 1)
     for at in range(0, len(first), step):
         i = first[at : at + step]
-        swapped = (role >> 1) | ((role & 1) << 1)
         m = _near(sketch[i, None], sketch[None, second]) & ((role[i, None] & swapped[None, second]) > 0)
-        if lo == hi:
+        if one:
             m &= i[:, None] < second[None, :]
         x, y = np.nonzero(m)
-        if len(x):
-            yield i[x], second[y]
+        yield i[x], second[y]
 
 
 def _big(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -293,37 +290,43 @@ def alike(xs: list[str], ys: list[str]) -> np.ndarray:
     return fine
 
 
-def _linked(key: int, lo: int, hi: int, g: pd.DataFrame, powers: Powers) -> pd.DataFrame:
-    """(a, b, k) of lines with links: b is the first of the lines that a hangs together with here, k its number of links.
+def _linked(g: pd.DataFrame, powers: Powers) -> pd.DataFrame:
+    """(a, b, k) of the rows with links in whole groups: b is the first of the lines that a hangs together with in its group, k its number of links.
 
     A pair counts under the least of the keys that it shares in unlike roles, so once among all keys.
     """
-    xs, lid, n = g["x"].tolist(), g["lid"].to_numpy(), len(g)
-    entry, who, sketch, probe = keys(xs, np.arange(n), powers)
-    index, probes = _table(who[~probe], entry[~probe], n, _NONE), _table(who[probe], entry[probe], n, _NONE + 1)
-    of = np.zeros(n, np.uint32)
+    lid, key, role, block, n = g["lid"].to_numpy(), g["key"].to_numpy(), g["role"].to_numpy(), g["block"].to_numpy(), len(g)
+    _, at, line = np.unique(lid, return_index=True, return_inverse=True)
+    xs = [g["x"].iloc[i] for i in at]
+    entry, who, sketch, probe = keys(xs, np.arange(len(xs)), powers)
+    index, probes = _table(who[~probe], entry[~probe], len(xs), _NONE), _table(who[probe], entry[probe], len(xs), _NONE + 1)
+    of = np.zeros(len(xs), np.uint32)
     of[who] = sketch.view(np.uint32)
-    left, right = [], []
-    top = np.iinfo(np.int64).max
-    for i, j in _pairs(lo, hi, g["block"].to_numpy(), g["role"].to_numpy(), of):
-        for at in range(0, len(i), 4096):
-            a, b = i[at : at + 4096], j[at : at + 4096]
-            least = np.full(len(a), top)
-            for x, y in ((a, b), (b, a)):
-                for c in range(index.shape[1]):
-                    v = index[x, c]
-                    least = np.minimum(least, np.where((probes[y] == v[:, None]).any(axis=1), v, top))
-            own = np.flatnonzero(least == key)
-            a, b = a[own], b[own]
-            if len(a):
-                fine = alike([xs[k] for k in a], [xs[k] for k in b])
-                left.append(a[fine])
-                right.append(b[fine])
-    if not left:
-        return pd.DataFrame({"a": [], "b": [], "k": []}, dtype="int64")
-    a, b = np.concatenate(left), np.concatenate(right)
+    of, top = of[line], np.iinfo(np.int64).max
+    first = _starts(g, ["key", "lo", "hi"])
+    size = np.diff(np.append(first, n))
+    two = first[size == 2]
+    two = two[_near(of[two], of[two + 1]) & ((role[two] | role[two + 1]) == 3)]
+    found = [(two, two + 1)]
+    for s, m in zip(first[size > 2], size[size > 2], strict=True):
+        rows = np.arange(s, s + m)
+        lo, hi = g["lo"].iloc[s], g["hi"].iloc[s]
+        found += _pairs(lo == hi, rows[block[s : s + m] == lo], rows[block[s : s + m] == hi], role, of)
+    i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+    fine = [np.zeros((2, 0), np.int64)]
+    for at in range(0, len(i), MANY):
+        a, b = i[at : at + MANY], j[at : at + MANY]
+        least = np.full(len(a), top)
+        for x, y in ((line[a], line[b]), (line[b], line[a])):
+            for c in range(index.shape[1]):
+                v = index[x, c]
+                least = np.minimum(least, np.where((probes[y] == v[:, None]).any(axis=1), v, top))
+        own = least == key[a]
+        a, b = a[own], b[own]
+        fine.append(np.stack([a, b])[:, alike([xs[k] for k in line[a]], [xs[k] for k in line[b]])])
+    a, b = np.concatenate(fine, axis=1)
     k, label = np.bincount(a, minlength=n) + np.bincount(b, minlength=n), np.arange(n)
-    while True:
+    while len(a):
         low = np.minimum(label[a], label[b])
         new = label.copy()
         np.minimum.at(new, a, low)
@@ -340,9 +343,13 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names, powers = ["key", "lo", "hi"], Powers()
     for b, _ in _groups(batches, names):
         first = _starts(b, names)
-        for s, e in zip(first, np.append(first[1:], len(b)), strict=True):
-            if e - s > 1:
-                yield _linked(*(int(b[c].iloc[s]) for c in names), b.iloc[s:e], powers)
+        end = np.append(first[1:], len(b))
+        points = np.cumsum(b["x"].str.len().to_numpy())
+        at = 0
+        while at < len(first):  # groups of about POINTS code points at a time
+            to = max(at + 1, int(np.searchsorted(points[end - 1], points[first[at]] + POINTS)))
+            yield _linked(b.iloc[first[at] : end[to - 1]], powers)
+            at = to
 
 
 def _distance(x: str, y: str) -> int:
