@@ -62,8 +62,10 @@ class Packer:
         self.made = 0
 
     def place(self, piece) -> list[list]:
-        """The windows that became ready."""
+        """The windows that became ready. A piece that fills a window is one of its own, whatever else is open."""
         n, ready = len(piece[2]), []
+        if n == self.size:
+            return [[piece]]
         at = bisect.bisect_left(self.by_room, (n, -1))
         if at < len(self.by_room):
             room, w = self.by_room.pop(at)
@@ -173,4 +175,5 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of docs (doc_id, text), as pack() defines them for nulls, empty texts, repeats and empty tables."""
     return pack(docs)
