@@ -7,6 +7,7 @@ many paths hold the blob, and joins findings back to all paths.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ RULES = (
 )
 BASE = 3
 #: Names the rules above; a change of any rule is a new version.
-VERSION = "2"
+VERSION = hashlib.sha256(repr([(kind, pattern, int(flags), group, least) for kind, pattern, flags, group, least in RULES]).encode()).hexdigest()[:16]
 #: A run of hexadecimal digits is found by its least length at once; runs are maximal, so the matches are the same.
 _FAST = {"hex": r"[0-9a-f]{16,}"}
 _COMPILED = [(kind, re.compile(_FAST.get(kind, pattern), flags), group, least) for kind, pattern, flags, group, least in RULES]
@@ -49,12 +50,12 @@ def scan_text(text: str) -> tuple[list[int], str, str]:
     return counts, ",".join(x for _, k, x in found if k < BASE), ",".join(x for _, _, x in found)
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan(batches: Iterator[pd.DataFrame], version: str) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
         for blob, text in zip(b["blob"], b["text"], strict=True):
             counts, base, spans = scan_text(text)
-            out.append((blob, VERSION, *counts, base, spans))
+            out.append((blob, version, *counts, base, spans))
         yield pd.DataFrame(out, columns=[x.split()[0] for x in LEDGER.split(", ")])
 
 
@@ -63,22 +64,39 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, path: str = "path
 
     A null text is an empty one. Several versions may share a path; null paths are kept. Blobs that the ledger has under
     this version of the rules are not read again; the gained rows are to be appended to it. An empty table gives empty
-    results. Other columns aren't looked at.
+    results. Other columns aren't looked at. A ledger that holds a row several times, as after an append that was tried
+    again, counts it once.
     """
     spark = versions.sparkSession
     ledger = ledger if ledger is not None else spark.createDataFrame([], LEDGER)
     v = versions.select(path, F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
-    known = ledger.where(F.col("rules") == VERSION)
+    version = VERSION
+    known = ledger.where(F.col("rules") == version).dropDuplicates(["blob"])
     ids = kept(v.select(path, "blob"))
     unseen = ids.groupBy("blob").agg(F.count(F.lit(1)).alias("_paths"), F.min(path).alias("_path")).join(known, "blob", "left_anti")
     # of all the rows that hold a blob, one path's are read; the narrow side is hashed, so texts aren't sorted
     one = unseen.select(F.col("blob").alias("_blob"), "_path").hint("shuffle_hash")
     texts = v.join(one, (F.col("blob") == F.col("_blob")) & F.col(path).eqNullSafe(F.col("_path"))).select("blob", "text")
-    gained = kept(texts.mapInPandas(_scan, LEDGER).dropDuplicates(["blob"]))
+    gained = kept(texts.mapInPandas(lambda batches: _scan(batches, version), LEDGER).dropDuplicates(["blob"]))
     found = ids.join(known.unionByName(gained), "blob").drop("rules")
     return found, gained
 
 
+def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger in a folder of the shared store; an empty one where there is none yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    some = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(LEDGER).parquet(folder) if some else spark.createDataFrame([], LEDGER)
+
+
+def scan_history(versions: DataFrame, folder: str, path: str = "path") -> DataFrame:
+    """Findings per path of versions; what the ledger in the folder gains is appended to it."""
+    found, gained = scan(versions, read_ledger(versions.sparkSession, folder), path)
+    found = kept(found)  # the ledger is read before it grows
+    gained.write.mode("append").parquet(folder)
+    return found
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = scan(table(spark, sf_dir, "documents"), path="doc_id")
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "blob")
