@@ -5,8 +5,8 @@ value of its dimension, as binary digits, and holds for each power of two the po
 posting segment of impact 2^b. A block of queries processes segments by descending impact, all dimensions of an impact
 together, so that each round adds a bit-matrix product to the accumulators. What is unprocessed then lies between 0 and
 2^b - 1 in every dimension, which bounds every row's score from both sides. A query stops only when those bounds prove
-that no row outside a short list is among its best k; the list is rescored exactly with integers. Blocks of queries
-meet blocks of candidates; each pair is one task's work.
+that no row outside a short list is among its best k; the list is rescored exactly with integers. A block's index is
+built once, in one task, and all queries stream past it.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from lexflume.llm.common import table
 
 K, EVERY = 5, 50
-#: Rows of a candidate block, queries of a query block, about; the lists that are short enough to rescore.
-BLOCK, QUERIES, SHORT = 8192, 512, 200
+#: Rows of a candidate block, about; queries that are searched at once; the lists that are short enough to rescore.
+BLOCK, QUERIES, SHORT = 8192, 256, 200
 
 
 class Index:
@@ -69,19 +69,34 @@ class Index:
         return out
 
 
-def _both(k: int):
-    def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "vec_id", "score"]
-        if not len(queries) or not len(rows):
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
-        rows = rows.sort_values("vec_id", kind="stable")
-        index = Index(rows["vec_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.int64))
-        own, q = queries["vec_id"].to_numpy(), np.stack(queries["v"].to_numpy()).astype(np.int64)
-        out = []
-        for a in range(0, len(own), 256):
-            for i, found in zip(own[a : a + 256], index.search(q[a : a + 256], own[a : a + 256], k), strict=True):
-                out += [(i, j, s) for j, s in found]
-        return pd.DataFrame(out, columns=names, dtype="int64")
+def _search(k: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows sorted by block and length, a block's candidates before the queries: the best k of each query in each block."""
+        key, held, index = None, [], None
+        for batch in batches:
+            ids, vectors, b, dims, asks, q = (batch[c].to_numpy() for c in ("vec_id", "v", "b", "dims", "asks", "q"))
+            cut = np.flatnonzero((b[1:] != b[:-1]) | (dims[1:] != dims[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for rows in np.split(np.arange(len(batch)), cut):
+                if not len(rows):
+                    continue
+                if key != (b[rows[0]], dims[rows[0]]):
+                    key, held, index = (b[rows[0]], dims[rows[0]]), [], None
+                x = np.stack(vectors[rows]).astype(np.int64)
+                if not asks[rows[0]]:
+                    held.append((ids[rows], x))
+                    continue
+                if not held:  # no candidates of this length here
+                    continue
+                if index is None:
+                    own, all_ = (np.concatenate(c) for c in zip(*held, strict=True))
+                    order = np.argsort(own, kind="stable")
+                    index = Index(own[order], all_[order])
+                out = []
+                for at in range(0, len(rows), QUERIES):
+                    some = slice(at, at + QUERIES)
+                    for i, h, found in zip(ids[rows][some], q[rows][some], index.search(x[some], ids[rows][some], k), strict=True):
+                        out += [(i, h, j, s) for j, s in found]
+                yield pd.DataFrame(out, columns=["query_id", "q", "vec_id", "score"], dtype="int64")
 
     return run
 
@@ -96,19 +111,20 @@ def integers(vectors: DataFrame) -> DataFrame:
 def exact_topk(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows for each row whose id is divisible by `every`.
 
-    Ties go to the smaller id. Vectors meet only those of their own length. A repeated row is a candidate each time,
-    but its copies bear the query's id and so aren't its own candidates. Null vectors, and those with null or
-    non-finite components, take no part; an empty table gives an empty result.
+    Ties go to the smaller id. Vectors meet only those of their own length. A row that is repeated is asked once, and as
+    a candidate it counts each time; rows with one id and unlike vectors are queries of their own under that id, and
+    never each other's candidates. Null vectors, and those with null or non-finite components, take no part; an empty
+    table gives an empty result.
     """
     v = integers(vectors)
-    n = v.count()
-    blocks, groups = max(1, -(-n // BLOCK)), max(1, -(-n // every // QUERIES))
-    deal = lambda count, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(count)).cast("int")
-    rows = v.withColumn("b", deal(blocks, 1)).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    queries = v.where(F.col("vec_id") % every == 0).withColumn("g", deal(groups, 2)).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    key = ["b", "g", "dims"]
-    found = queries.groupBy(*key).cogroup(rows.groupBy(*key)).applyInPandas(_both(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    blocks = max(1, -(-v.count() // BLOCK))
+    # dealt by row, not by id alone: repeats of an id are in different blocks too
+    rows = v.withColumns({"b": F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"), "asks": F.lit(False), "q": F.lit(0).cast("long")})
+    queries = v.where(F.col("vec_id") % every == 0).withColumn("q", F.xxhash64("v")).dropDuplicates(["vec_id", "q", "v"])
+    queries = queries.withColumns({"b": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), "asks": F.lit(True)})
+    dealt = rows.unionByName(queries).repartition("b").sortWithinPartitions("b", "dims", "asks")
+    found = dealt.mapInPandas(_search(k), "query_id long, q long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
@@ -119,8 +135,8 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) e from embeddings
   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint score
-  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(q.e) = len(c.e)),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) n from s)
+s as (select q.vec_id query_id, q.e qe, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint score
+  from (select distinct vec_id, e from v) q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(q.e) = len(c.e)),
+r as (select *, row_number() over (partition by query_id, qe order by score desc, vec_id) n from s)
 select query_id, n::int as rank, vec_id, score from r where n <= 5
 """
