@@ -21,8 +21,8 @@ from lexflume.llm.common import SPACE, kept, table
 SHARE, STEPS, LEAST = 0.5, 50, 60
 #: The least rows of a whole table for an estimate of its own.
 FEW = 20
-#: Concentration ends when no logarithm of a determinant falls by more.
-CLOSE = 1e-3
+#: Concentration ends when no logarithm of a determinant falls by more: 1 % of a determinant, 0.1 % of each axis.
+CLOSE = 1e-2
 #: Squared distances beyond this quantile of the chi-square law are rejected.
 LAW = 0.999
 #: Words that short texts' shares are shrunk by towards the usual ones, and the least spread of a statistic.
@@ -144,9 +144,12 @@ def mcd(rows: DataFrame) -> DataFrame:
         sums = near.groupBy("g", "start").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"m_{i}") for i, x in enumerate(STATS)], *[F.sum(F.col(STATS[i]) * F.col(STATS[j])).alias(f"c_{i}_{j}") for i, j in _pairs(d)])
         sums = sums.withColumns({f"m_{i}": F.col(f"m_{i}") / F.col("n") for i in range(d)})
         sums = sums.withColumns({f"c_{i}_{j}": (F.col(f"c_{i}_{j}") / F.col("n") - F.col(f"m_{i}") * F.col(f"m_{j}")) * factor + (FLOOR * FLOOR if i == j else 0.0) for i, j in _pairs(d)})
-        last, params = params, kept(_cholesky(sums, d).drop(*[f"c_{i}_{j}" for i, j in _pairs(d)]))
-        if last is not None:
-            fell = params.join(last.select("g", "start", F.col("logdet").alias("_was")), ["g", "start"]).agg(F.max(F.col("_was") - F.col("logdet"))).first()[0]
+        sums = _cholesky(sums, d).drop(*[f"c_{i}_{j}" for i, j in _pairs(d)])
+        if params is None:
+            params = kept(sums)
+        else:
+            both_ = kept(sums.join(params.select("g", "start", F.col("logdet").alias("_was")), ["g", "start"]))
+            params, fell = both_.drop("_was"), both_.agg(F.max(F.col("_was") - F.col("logdet"))).first()[0]
             if fell is None or fell <= CLOSE:
                 break
         t = _distance(both.join(_salted(params.drop("n", "logdet")), key), d).select("g", "salt", "start", *STATS, "d2")
@@ -201,7 +204,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of docs that are kept. Rows are told apart by two hashes of all their columns, 96 bits."""
+    """The rows of docs that are kept, as quality_rules() says; null and empty texts have too few words and go.
+
+    Rows are told apart by two hashes of all their columns, 96 bits; equal rows are judged alike.
+    """
     keyed = docs.withColumns({"_k": F.xxhash64(*docs.columns), "_m": F.hash(*docs.columns)})
     out = quality_rules(keyed, ("_k", "_m")).where("not kept").select("_k", "_m").distinct()
     return keyed.join(out.hint("shuffle_hash"), ["_k", "_m"], "left_anti").select(*docs.columns)
