@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -36,6 +37,12 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of results that are kept by now: they stay until the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def split_join(rows: DataFrame, of: DataFrame, key: str, n: str, total: int, share: int = 1000) -> DataFrame:
     """rows joined to the one row that of has for their key; n is how many of the total rows have that key.
 

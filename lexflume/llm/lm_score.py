@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm.common import held_out, kept, mix64, table
+from lexflume.llm.common import freed, held_out, kept, mix64, table
 from lexflume.llm.elias_fano import EliasFano
 
 FOLDS, HELD = 7, 2
@@ -263,10 +263,12 @@ def lm_score(docs: DataFrame) -> DataFrame:
     coded = kept(d.mapInPandas(_encode(), CODED))
     n = coded.agg(F.sum("n")).first()[0] or 0
     counts = kept(coded.mapInPandas(_ask(shards), REQUEST).groupBy("kind", "part").applyInPandas(_answer, ANSWER))
+    freed(d.sparkSession)
     v = counts.where("chunk = -1").agg(F.sum("v")).first()[0] or 0
     counts = counts.where("chunk >= 0")
     taken = coded.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(_ask_contexts(shards), REQUEST)
-    taken = taken.groupBy("kind", "part").applyInPandas(_answer, ANSWER)
+    taken = kept(taken.groupBy("kind", "part").applyInPandas(_answer, ANSWER))
+    freed(d.sparkSession)
     out = coded.groupBy("chunk").cogroup(counts.union(taken).groupBy("chunk")).applyInPandas(_score(n + v + 1), SCORED)
     return out.select("doc_id", held_out(F.col("doc_id"), FOLDS, HELD).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
