@@ -417,11 +417,17 @@ def within(xs: list[str], ys: list[str], edits: int) -> np.ndarray:
     return out
 
 
-def links(docs: DataFrame, lines: DataFrame, least: int = SHORT) -> DataFrame:
+def different(lines: DataFrame) -> DataFrame:
+    """(lid, n, f, l): each different line of lines_of(docs), how often it stands and its first and last place."""
+    place = F.struct("doc_id", "row", "line")
+    return lines.groupBy("lid").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("f"), F.max(place).alias("l"))
+
+
+def links(docs: DataFrame, each: DataFrame, least: int = SHORT) -> DataFrame:
     """(a, b, k): lines, by lid, of least code points or more that are alike to others.
 
-    A line may have several rows: its links are the sum of k, and the pairs a, b hang together what links do. lines is
-    lines_of(docs). Lines of one text share a lid, so a frequent line is one line here.
+    A line may have several rows: its links are the sum of k, and the pairs a, b hang together what links do. each is
+    different(lines_of(docs)). Lines of one text share a lid, so a frequent line is one line here.
     """
     entries = docs.select("text").mapInPandas(lambda batches: _entries(batches, least), "key long, lid long, sketch int, probe boolean")
     gather = GATHER
@@ -434,8 +440,8 @@ def links(docs: DataFrame, lines: DataFrame, least: int = SHORT) -> DataFrame:
         some = some.where("whole").unionByName(found.groupBy("key", "lid", "sketch").agg(F.max("role").alias("role"), F.lit(True).alias("whole")))
     # the texts of these lines: one place each, then the documents that hold them
     wanted = some.select("lid").distinct()
-    place = lines.join(wanted, "lid", "left_semi").groupBy("lid").agg(F.min(F.struct("row", "line")).alias("p"))
-    per = place.groupBy(F.col("p.row").alias("_row")).agg(F.collect_list(F.struct("lid", F.col("p.line").alias("line"))).alias("w"))  # of one document
+    place = each.select("lid", "f.row", "f.line").join(wanted, "lid", "left_semi")
+    per = place.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("lid", "line")).alias("w"))  # of one document
     d = docs.select(row_key().alias("row"), "text").join(per.hint("shuffle_hash"), F.col("row") == F.col("_row"))
     texts = d.select(F.split("text", "\n").alias("t"), F.explode("w").alias("w")).select(F.col("w.lid").alias("lid"), F.trim(F.get("t", F.col("w.line")), F.lit(" \t\n\x0b\f\r")).alias("x"))
     texts = kept(texts.where("x is not null and xxhash64(x) = lid").dropDuplicates(["lid"]))
@@ -451,11 +457,11 @@ def members(docs: DataFrame) -> DataFrame:
     class is the least lid of the class, k the number of links that the line has to lines of other wording.
     """
     lines = kept(lines_of(docs))
-    linked = links(docs, lines)
+    every = kept(different(lines))
+    linked = links(docs, every)
     degree = linked.groupBy(F.col("a").alias("lid")).agg(F.sum("k").alias("k"))
     cls = connected_components(linked.select("a", "b")).withColumnRenamed("node", "lid").join(degree, "lid")
-    place = F.struct("doc_id", "row", "line")
-    each = lines.groupBy("lid").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("f"), F.max(place).alias("l")).join(cls, "lid", "left").where("f.row <> l.row or f.line <> l.line or component is not null")
+    each = every.join(cls, "lid", "left").where("f.row <> l.row or f.line <> l.line or component is not null")
     each = kept(each.select("lid", "n", "f", "component", F.coalesce("k", F.lit(0)).alias("k")))
     near = each.where("component is not null")
     first = near.groupBy("component").agg(F.count(F.lit(1)).alias("_m"), F.min("f").alias("_f"))
