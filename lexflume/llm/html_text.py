@@ -1,10 +1,16 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree of block elements. Elements that say what they are (menus, adverts, forms and the like) are left
-out. Every node has a density, its characters per tag, adjusted for the share that links hold of its characters and tags
-and of the body's (Sun, Song and Liao, 2011). The node whose children's densities have the greatest sum is the middle of
-the main text; the least density on the path from it to the body is the threshold at which other nodes belong to the
-text as well. If that node lies in an article or main element, the whole element is the text.
+A page becomes a tree of block elements. Elements that are by definition no text of an article (nav, form, aside, hidden
+ones, what calls itself comments or adverts) are left out. Every node has a density, its characters per tag, adjusted for
+the share that links hold of its characters and tags and of the body's (Sun, Song and Liao, 2011). The node whose
+children's densities have the greatest sum is the middle of the main text; the least density on the path from it to the
+body is the threshold at which nodes beside that path belong to the text as well.
+
+Names like related, share or notice are hints only: a block that bears one counts a quarter in the choice of the middle,
+and is kept, if it isn't made of links, where it is half as dense as the middle's blocks on average, or beside the path
+four times as dense as the threshold. Other blocks of the middle stay, but for lists of links outside an article or main
+element. Beside the path, but within an article or main element, and for headings, only what is made of links must meet
+the threshold.
 """
 
 from __future__ import annotations
@@ -31,33 +37,43 @@ BLOCK = frozenset("html body address article aside blockquote center details dia
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"}}
 _BOUND = frozenset("table ul ol dl div article section main aside body html blockquote form".split())
 OUT = frozenset("nav footer aside form button select dialog menu head object audio video canvas map".split()) | RAW
-_NAMES = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu menus sidebar sidebars aside breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended comment comments disqus respond reply replies footer masthead skip pagination pager toolbar widget login".split())
+#: Names, in class or id, of what is left out at any density, and names that are hints.
+NO_TEXT = frozenset("ad ads advert adverts advertisement advertising adsense sponsored comment comments disqus respond reply replies".split())
+HINTS = frozenset("sponsor promo promotion banner nav navbar navigation menu menus sidebar sidebars aside breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended footer masthead skip pagination pager toolbar widget login".split())
+#: What a hinted block's density counts in the choice of the middle and beside the path.
+PRIOR = 0.25
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "hint", "chars", "links", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag, parent):
-        self.tag, self.parent, self.parts = tag, parent, []
+    def __init__(self, tag, parent, hint=False):
+        self.tag, self.parent, self.parts, self.hint = tag, parent, [], hint
         self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _left_out(tag: str, attributes: str, inside: bool) -> bool:
+def _kind(tag: str, attributes: str, inside: bool) -> int:
+    """2 for an element that is left out, 1 for one whose name is a hint, else 0."""
     if tag in OUT or tag == "header" and not inside:
-        return True
+        return 2
     if not attributes.strip() or tag in ("article", "main", "body", "html"):
-        return False
+        return 0
+    kind = 0
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and not _NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
+        if name in ("class", "id"):
+            parts = re.split(r"[\s_-]+", value)
+            if not NO_TEXT.isdisjoint(parts):
+                return 2
+            kind = max(kind, not HINTS.isdisjoint(parts))
         if name == "role" and value in _ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return 2
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return 2
+    return int(kind)
 
 
 def tree(page: str) -> Node:
@@ -139,7 +155,8 @@ def tree(page: str) -> Node:
                     break
                 if stack[k][0] in _BOUND:
                     break
-        if _left_out(tag, attributes or "", inside > 0):
+        kind = _kind(tag, attributes or "", inside > 0)
+        if kind == 2:
             if tag not in VOID:
                 at = leave(tag, at)
             if tag in BLOCK:
@@ -152,7 +169,7 @@ def tree(page: str) -> Node:
                 node.parts.append(("\n", None))
             continue
         if tag in BLOCK:
-            child = Node(tag, node)
+            child = Node(tag, node, kind == 1)
             node.parts.append(child)
             stack.append((tag, child, False))
             node = child
@@ -176,9 +193,8 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
-def main_text(page: str) -> str:
-    """The blocks of the main text, in page order, one to a line."""
-    root = tree(page)
+def weigh(root: Node) -> list[Node]:
+    """The nodes, parents first, with their counts, densities and sums of densities."""
     nodes = _order(root)
     for x in reversed(nodes):
         for p in x.parts:
@@ -188,45 +204,60 @@ def main_text(page: str) -> str:
                 size = len(_SPACE.sub("", p[0]))
                 x.chars += size
                 x.links += size * p[1]
-    if not root.chars:
-        return ""
-    body = root.links / root.chars
+    body = root.links / max(1, root.chars)
     for x in nodes:
         if x.chars:
             c, lc, t, lt = x.chars, max(1, x.links), max(1, x.tags), max(1, x.link_tags)
             base = math.log(c / max(1, c - x.links) * x.links + body * c + math.e)
             x.density = c / t * math.log(c / lc * max(1.0, t / lt) + 1e-9) / math.log(base) if base > 1.0 + 1e-9 else c / t * math.log(c / lc * max(1.0, t / lt) + math.e)
     for x in nodes:
-        x.total = sum(p.density for p in x.parts if isinstance(p, Node))
+        x.hint = x.hint or x.parent is not None and x.parent.hint
+        x.total = sum(p.density * (PRIOR if p.hint else 1.0) for p in x.parts if isinstance(p, Node))
+    return nodes
+
+
+def main_text(page: str) -> str:
+    """The blocks of the main text, in page order, one to a line."""
+    root = tree(page)
+    nodes = weigh(root)
+    if not root.chars:
+        return ""
     best = max(nodes, key=lambda x: x.total)
     if best.total <= 0:
         best = root
-    limit, x, whole = best.density, best, None
+    path, x = [], best
     while x is not None:
-        limit = min(limit, x.density)
-        if x.tag in ("article", "main"):
-            whole = x
-        x = x.parent
-    if whole is not None:
-        return _blocks([whole])
-    # the subtree itself, and nodes beside its path that are as dense as the path
-    chosen, todo = [], [root]
-    path = set()
-    x = best
-    while x is not None:
-        path.add(id(x))
+        path.append(x)
         x = x.parent
+    limit = min(x.density for x in path)
+    usual = max(limit, best.total / max(1, sum(isinstance(p, Node) for p in best.parts)))
+    on_path, article = {id(x) for x in path}, False
+
+    def stays(x: Node) -> bool:
+        """Whether the node x, within best or beside the path, is text."""
+        dense, linked = x.density >= limit, 3 * x.links >= x.chars
+        if x.hint:
+            return not linked and (2 * x.density >= usual if within else PRIOR * x.density >= limit)
+        if within:  # a menu without a name is many links and little else
+            return article or dense or x.link_tags < 3 or 3 * x.links < 2 * x.chars
+        return dense or not linked and (article or x.tag in HEADINGS and x.parent is not root)
+
+    keep, bare, todo = set(), set(), [(root, False, False)]
     while todo:
-        x = todo.pop()
-        if x is best or id(x) not in path:
-            if x is best or x.density >= limit:
-                chosen.append(x)
+        x, within, article = todo.pop()
+        beside = not within and id(x) not in on_path
+        if x.chars and (beside or within and not (x.hint and x.parent.hint)) and not stays(x):
             continue
-        todo += [p for p in reversed(x.parts) if isinstance(p, Node)]
-    return _blocks(chosen or [root])
+        within, article = within or beside or x is best, article or x.tag in ("article", "main")
+        keep.add(id(x))
+        if not within and not article and sum(len(_SPACE.sub("", p[0])) for p in x.parts if not isinstance(p, Node) and p[1] is False) < limit:
+            bare.add(id(x))  # what stands right in a node of the path is a block of one tag
+        todo += [(p, within, article) for p in x.parts if isinstance(p, Node)]
+    return _blocks(root, keep, bare)
 
 
-def _blocks(roots: list[Node]) -> str:
+def _blocks(root: Node, keep: set[int], bare: set[int]) -> str:
+    """The texts of the nodes in keep, without what stands right in those in bare."""
     out: list[str] = []
     line: list[str] = []
 
@@ -236,21 +267,21 @@ def _blocks(roots: list[Node]) -> str:
             out.append(s)
         line.clear()
 
-    for root in roots:
-        todo: list = [root]
-        while todo:
-            x = todo.pop()
-            if x is None:
-                flush()
-            elif isinstance(x, Node):
-                flush()
-                todo.append(None)
-                todo += reversed(x.parts)
-            elif x[1] is None:
-                flush()
-            else:
-                line.append(x[0])
-        flush()
+    todo: list = [(root, True)]
+    while todo:
+        x, own = todo.pop()
+        if x is None:
+            flush()
+        elif isinstance(x, Node):
+            flush()
+            if id(x) in keep:
+                todo.append((None, True))
+                todo += [(p, id(x) not in bare) for p in reversed(x.parts)]
+        elif x[1] is None:
+            flush()
+        elif own:
+            line.append(x[0])
+    flush()
     return "\n".join(out)
 
 

@@ -409,3 +409,70 @@ def test_html(spark, page, want):
     d = spark.createDataFrame([(1, "u", page, "t", 0)], "page_id long, url string, html string, text string, n_chars long")
     r = html_text.extract(d).first()
     assert (r["text"], r["n_chars"]) == (want, len(want))
+
+
+PROSE = "a long run of words that says something, and goes on for a while without any link in it, as prose does "
+LINKS = "".join(f'<li><a href="/{i}">item {i}</a>' for i in range(12))
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    # no article or main: the middle is the densest block, a dense one beside it stays, what is made of links goes
+    (f"<div><ul>{LINKS}</ul></div><div><h2>Title</h2><p>{PROSE * 3}</p><p>{PROSE * 2}</p></div><div><p>(c) x</p></div>", ["Title", (PROSE * 3).strip(), (PROSE * 2).strip()]),
+    (f"<div><p>{PROSE * 4}</p></div><div><p>{PROSE * 3}</p><p>{PROSE * 2}</p></div><div>site<ul>{LINKS}</ul></div>", [(PROSE * 4).strip(), (PROSE * 3).strip(), (PROSE * 2).strip()]),
+    # names that mislead: dense blocks stay, whatever they are called; what is thin or made of links goes
+    (f'<article><p>{PROSE * 3}</p><div class="related work"><p>{PROSE * 2}</p></div><p id="share">{PROSE * 3}</p></article>', [(PROSE * 3).strip(), (PROSE * 2).strip(), (PROSE * 3).strip()]),
+    (f'<article><p>{PROSE * 3}</p><div class="related"><ul>{LINKS}</ul></div><p class="share">tell all</p><p>end</p></article>', [(PROSE * 3).strip(), "end"]),
+    (f'<div class="sidebar"><p>{PROSE}</p></div><div><p>{PROSE * 3}</p><p>{PROSE * 3}</p></div>', [(PROSE * 3).strip()] * 2),
+    (f'<article><p>{PROSE * 3}</p><div class="comments"><p>{PROSE * 9}</p></div></article>', [(PROSE * 3).strip()]),
+])
+def test_density_decides(page, want):
+    assert html_text.main_text(page).split("\n") == want
+
+
+def test_densities_match_brute_force():
+    """Pages made from nested lists, measured by recursion over the lists."""
+    random.seed(11)
+
+    def made(depth):
+        if not depth or random.random() < 0.3:
+            return ("a" if random.random() < 0.3 else "t", "x" * random.randrange(1, 60))
+        return ("d", [made(depth - 1) for _ in range(random.randrange(1, 5))])
+
+    def page(x):
+        return {"t": lambda: f"<p>{x[1]}</p>", "a": lambda: f'<p><a href="/">{x[1]}</a></p>', "d": lambda: f"<div>{''.join(map(page, x[1]))}</div>"}[x[0]]()
+
+    def count(x):  # characters, linked ones, tags below, link tags at or below
+        if x[0] != "d":
+            n = len(x[1])
+            return n, n * (x[0] == "a"), 0, int(x[0] == "a")
+        below = [count(y) for y in x[1]]
+        return sum(b[0] for b in below), sum(b[1] for b in below), sum(b[2] + 1 for b in below), sum(b[3] for b in below)
+
+    def density(x, whole):
+        c, lc, t, lt = count(x)
+        body = whole[1] / whole[0]
+        base = math.log(c / max(1, c - lc) * lc + body * c + math.e)
+        ratio = c / max(1, lc) * max(1, max(1, t) / max(1, lt))
+        return c / max(1, t) * (math.log(ratio + 1e-9) / math.log(base) if base > 1 + 1e-9 else math.log(ratio + math.e))
+
+    def sums(x, whole):
+        return [sum(density(y, whole) for y in x[1]) if x[0] == "d" else 0.0, *(s for y in (x[1] if x[0] == "d" else []) for s in sums(y, whole))]
+
+    for _ in range(60):
+        top = ("d", [made(4) for _ in range(3)])
+        nodes = html_text.weigh(html_text.tree("".join(map(page, top[1]))))
+        want = sorted(sums(top, count(top)))
+        assert np.allclose(sorted(x.total for x in nodes), want)
+        out = html_text.main_text("".join(map(page, top[1])))
+        best = max(nodes, key=lambda x: x.total)
+        if best.total > 0 and best.link_tags < 3:  # the middle's own blocks are in the text
+            inner = [p[0] for x in html_text._order(best) for p in x.parts if not isinstance(p, html_text.Node)]
+            assert set(inner) <= set(out.split("\n"))
+
+
+def test_html_rows(spark):
+    schema = "page_id long, url string, html string, text string, n_chars long"
+    assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, "u", "<p>one</p>", "x", 9)] * 2 + [(None, None, "<p>two &#x41; &bogus;</p>", None, None), (2, "v", "<p>" + "word " * 200_000 + "</p>", "", 0)]
+    got = sorted(((r["page_id"] or 0, r["text"][:9], r["n_chars"]) for r in html_text.extract(spark.createDataFrame(rows, schema)).collect()))
+    assert got == [(0, "two A &bo", 13), (1, "one", 3), (1, "one", 3), (2, "word word", 999_999)]
