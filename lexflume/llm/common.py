@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -38,9 +39,14 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def freed(spark: SparkSession) -> None:
-    """Lets go of the shuffle files of results that are kept by now: they stay until the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets go of the shuffle files of results that are kept by now: they stay until the driver collects its garbage.
+
+    Twice, since what refers to them is only found to be garbage itself the first time.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)  # references are cleared by threads of their own
 
 
 def split_join(rows: DataFrame, of: DataFrame, key: str, n: str, total: int, share: int = 1000) -> DataFrame:
