@@ -41,12 +41,12 @@ def kept(df: DataFrame) -> DataFrame:
 def freed(spark: SparkSession) -> None:
     """Lets go of the shuffle files of results that are kept by now: they stay until the driver collects its garbage.
 
-    Twice, since what refers to them is only found to be garbage itself the first time.
+    Several times, since what refers to them is only found to be garbage itself at first.
     """
-    for _ in range(2):
+    for _ in range(4):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)  # references are cleared by threads of their own
+        time.sleep(0.3)  # references are cleared by threads of their own
 
 
 def split_join(rows: DataFrame, of: DataFrame, key: str, n: str, total: int, share: int = 1000) -> DataFrame:
