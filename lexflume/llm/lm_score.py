@@ -5,11 +5,14 @@ list. What a chunk must know of its words, pairs and triples it asks of shards b
 distinct keys of one order with their training counts, a shard adds up what all chunks send and answers each chunk in
 the order of its list. A key is one entry per chunk, so no shard grows with a key's frequency.
 
+Rounds. Words and pairs are asked for first. A triple can't be more frequent than its pairs, so of the triples only those
+are asked for whose two pairs are kept.
+
 Model. Every n-gram of orders 2 and 3 with at least LEAST training occurrences is kept, whatever the size of the corpus;
 nothing of the model is collected or broadcast, and there are as many shards as input partitions. A shard is a slice of
 one level: the hashes of its kept n-grams as an ascending sequence in Elias-Fano form, with their counts.
 Probabilities interpolate absolute discounting down to add-one unigrams, whose counts are exact for every word. What a
-context's kept successors take from it is summed in a second round: of the chunks that list an n-gram, one owns it and
+context's kept successors take from it is summed in a last round: of the chunks that list an n-gram, one owns it and
 adds it to its context, and contexts are summed by shards like counts.
 """
 
@@ -46,6 +49,16 @@ def _u(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
 
 
+def _zk(keys: np.ndarray) -> bytes:
+    """Ascending hashes as differences, byte planes apart: the upper planes are all but empty."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    return _z(gaps.view(np.uint8).reshape(-1, 8).T)
+
+
+def _uk(b: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(_u(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 CODED = "chunk long, n long, ids binary, nulls binary, lens binary, flags binary, tokens binary, words binary"
 
 
@@ -72,7 +85,7 @@ def _encode():
             words, place = np.unique(words, return_inverse=True)
             flat = place[np.concatenate(tokens)].astype(np.uint32)
             train = np.repeat(np.array(flags, bool), lens)
-            row = (chunk, int(train.sum()), _z(np.array(ids, np.int64)), _z(np.array(nulls, bool)), _z(np.array(lens, np.int64)), _z(np.array(flags, bool)), _z(flat), words.tobytes())
+            row = (chunk, int(train.sum()), _z(np.array(ids, np.int64)), _z(np.array(nulls, bool)), _z(np.array(lens, np.int64)), _z(np.array(flags, bool)), _z(flat), _zk(words))
             return pd.DataFrame([row], columns=names)
 
         for b in batches:
@@ -98,15 +111,16 @@ def _encode():
 
 
 class _Chunk:
-    """The texts of a coded row: keys of its words, pairs and triples, and each token's places among them.
+    """The texts of a coded row: keys of its words and pairs, and each token's places among them.
 
-    one is the place of the word before a token; a text's first token has an end before it and no triple (-1).
+    one is the place of the word before a token; a text's first token has an end before it. later are the others, which
+    end a triple too.
     """
 
     def __init__(self, r):
         self.chunk, self.ids, self.nulls, self.lens = r.chunk, _u(r.ids, np.int64), _u(r.nulls, bool), _u(r.lens, np.int64)
         self.train = np.repeat(_u(r.flags, bool), self.lens)
-        self.words, self.cur = np.frombuffer(r.words, np.uint64), _u(r.tokens, np.uint32).astype(np.int64)
+        self.words, self.cur = _uk(r.words), _u(r.tokens, np.uint32).astype(np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.lens)[:-1]])
         self.one = np.concatenate([[0], self.cur[:-1]])
         self.one[self.start] = np.searchsorted(self.words, MARK)
@@ -114,13 +128,17 @@ class _Chunk:
         self.later[self.start] = False
         self.later = np.flatnonzero(self.later)
         with np.errstate(over="ignore"):
-            h = mix64(self.words)[self.cur]
-            pair = mix64(self.words[self.one] * np.uint64(_ODD) + h)
-            triple = mix64(pair[self.later - 1] * np.uint64(_ODD) + h[self.later])
+            pair = mix64(self.words[self.one] * np.uint64(_ODD) + mix64(self.words)[self.cur])
         self.pairs, self.pair = np.unique(pair, return_inverse=True)
-        self.triples, own = np.unique(triple, return_inverse=True)
-        self.triple = np.full(len(self.cur), -1, np.int64)
-        self.triple[self.later] = own
+
+    def with_triples(self, pairs: np.ndarray) -> "_Chunk":
+        """Adds the keys of the triples that can be kept, given the counts of pairs, and tokens' places among them, or -1."""
+        at = self.later[(pairs[self.pair[self.later - 1]] >= LEAST) & (pairs[self.pair[self.later]] >= LEAST)]
+        with np.errstate(over="ignore"):
+            triple = mix64(self.pairs[self.pair[at - 1]] * np.uint64(_ODD) + mix64(self.words)[self.cur[at]])
+        self.ended, self.triple = at, np.full(len(self.cur), -1, np.int64)
+        self.triples, self.triple[at] = np.unique(triple, return_inverse=True)
+        return self
 
     def counts(self, place: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(place[self.train & (place >= 0)], minlength=n).astype(np.int64)
@@ -130,7 +148,7 @@ def _dealt(chunk: int, kind: int, keys: np.ndarray, values: np.ndarray, shards:
     """Requests of one kind: shards are ranges of hashes, so a sorted list is its shards' lists in order."""
     of = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
     cut = np.searchsorted(of, np.arange(shards + 1))
-    return [(chunk, kind, s, keys[cut[s] : cut[s + 1]].tobytes(), _z(values[cut[s] : cut[s + 1]])) for s in range(shards) if cut[s] < cut[s + 1]]
+    return [(chunk, kind, s, _zk(keys[cut[s] : cut[s + 1]]), _z(values[cut[s] : cut[s + 1]])) for s in range(shards) if cut[s] < cut[s + 1]]
 
 
 REQUEST = "chunk long, kind int, part int, keys binary, sums binary"
@@ -146,12 +164,20 @@ def _ask(shards: int):
         for b in batches:
             for r in b.itertuples():
                 x = _Chunk(r)
-                for kind, keys, place in ((WORDS, x.words, x.cur), (PAIRS, x.pairs, x.pair), (TRIPLES, x.triples, x.triple)):
+                for kind, keys, place in ((WORDS, x.words, x.cur), (PAIRS, x.pairs, x.pair)):
                     yield _asked(_dealt(x.chunk, kind, keys, x.counts(place, len(keys)), shards))
 
     return run
 
 
+def _ask_triples(shards: int):
+    def run(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        x = _Chunk(next(rows.itertuples())).with_triples(_answers(replies, PAIRS)[0])
+        return _asked(_dealt(x.chunk, TRIPLES, x.triples, x.counts(x.triple, len(x.triples)), shards))
+
+    return run
+
+
 class Shard:
     """A slice of a level: its keys, ascending, in Elias-Fano form relative to the first that may be looked up."""
 
@@ -170,7 +196,7 @@ class Shard:
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     """Twice the kept totals of one shard's keys, plus one for the chunk that owns a key; row -1 has their number."""
     kind, part = int(rows["kind"].iloc[0]), int(rows["part"].iloc[0])
-    lists = [np.frombuffer(x, np.uint64) for x in rows["keys"]]
+    lists = [_uk(x) for x in rows["keys"]]
     keys = np.concatenate(lists)
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
@@ -210,9 +236,10 @@ def _ask_contexts(shards: int):
         x = _Chunk(next(rows.itertuples()))
         words, _ = _answers(replies, WORDS)
         (pairs, own2), (triples, own3) = _answers(replies, PAIRS), _answers(replies, TRIPLES)
+        x.with_triples(pairs)
         of_pair, of_triple = np.zeros(len(pairs), np.int64), np.zeros(len(triples), np.int64)
         of_pair[x.pair] = x.one
-        of_triple[x.triple[x.later]] = x.pair[x.later - 1]
+        of_triple[x.triple[x.ended]] = x.pair[x.ended - 1]
         taken = lambda of, n, own, size: np.bincount(of[own], 4 * (n[own] - DISCOUNT), size).astype(np.int64)
         w, p = _contexts(x, words, pairs)
         out = _dealt(x.chunk, AFTER_WORD, x.words[w], taken(of_pair, pairs, own2, len(words))[w], shards)
@@ -228,6 +255,7 @@ def _score(whole: int):
     def run(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         x = _Chunk(next(rows.itertuples()))
         (words, _), (pairs, _), (triples, _) = (_answers(replies, k) for k in (WORDS, PAIRS, TRIPLES))
+        x.with_triples(pairs)
         w, p = _contexts(x, words, pairs)
 
         def spare(kind, place, counts):
@@ -241,7 +269,7 @@ def _score(whole: int):
         prob = own(pairs[x.pair], words[x.one]) + after_word[x.one] * ((words[x.cur] + 1.0) / whole)
         # the context of order two is the pair that ends one token before, in the same text
         ctx = x.pair[x.later - 1]
-        prob[x.later] = own(triples[x.triple[x.later]], pairs[ctx]) + after_pair[ctx] * prob[x.later]
+        prob[x.later] = own(np.append(triples, 0)[x.triple[x.later]], pairs[ctx]) + after_pair[ctx] * prob[x.later]
         add = lambda a: np.add.reduceat(a, x.start)
         ids = pd.array(x.ids, dtype="Int64")
         ids[x.nulls] = pd.NA
@@ -266,6 +294,10 @@ def lm_score(docs: DataFrame) -> DataFrame:
     freed(d.sparkSession)
     v = counts.where("chunk = -1").agg(F.sum("v")).first()[0] or 0
     counts = counts.where("chunk >= 0")
+    triples = coded.groupBy("chunk").cogroup(counts.where(F.col("kind") == PAIRS).groupBy("chunk")).applyInPandas(_ask_triples(shards), REQUEST)
+    counts = counts.union(kept(triples.groupBy("kind", "part").applyInPandas(_answer, ANSWER)))
+    del triples
+    freed(d.sparkSession)
     taken = coded.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(_ask_contexts(shards), REQUEST)
     taken = kept(taken.groupBy("kind", "part").applyInPandas(_answer, ANSWER))
     freed(d.sparkSession)
