@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Environments of LaTeX that hold no prose, commands that leave nothing behind.
-NOISY = ("equation", "equation*", "align", "align*", "math", "displaymath", "figure", "figure*", "table", "table*", "thebibliography", "verbatim", "lstlisting", "minted", "tikzpicture", "pgfpicture")
+NOISY = ("equation", "equation*", "align", "align*", "eqnarray", "eqnarray*", "gather", "gather*", "split", "multline", "multline*", "math", "displaymath", "figure", "figure*", "table", "table*", "thebibliography", "verbatim", "lstlisting", "minted", "tikzpicture", "pgfpicture")
 EMPTY_COMMANDS = ("cite", "citep", "citet", "ref", "eqref", "label", "footnote", "url", "href", "includegraphics", "bibliography", "bibliographystyle")
 # What banners of journals hold, and headings that are no titles.
 BANNER = r"(?i)(received:|accepted:|published:|^doi:|copyright|contents lists|open access|journal homepage|sciencedirect|elsevier|wiley|springer|frontiers|mdpi|cite this|article number|how to cite|available\s+online|peer\s*review|\b\d{4}-\d{4}\b|\bvol\.?\s*\d|issue\s+\d|\d+\s*\(\d+\):)"

@@ -103,3 +103,22 @@ def suppress_overlaps(boxes: DataFrame, most: float = 0.5) -> DataFrame:
     p = boxes.groupBy("page").agg(F.array_sort(F.collect_list(box)).alias("bs"))
     kept = F.aggregate("bs", F.slice("bs", 1, 0), lambda acc, b: F.when(F.exists(acc, lambda a: clash(a, b)), acc).otherwise(F.concat(acc, F.array(b))))
     return p.select("page", F.inline(kept)).drop("neg")
+
+
+def rendered_lines(spans: DataFrame) -> DataFrame:
+    """(line, text) of spans (line, span, role, text) in order: runs of one role in one tag. Lines are short, so a line is one row."""
+    w = Window.partitionBy("line").orderBy("span")
+    in_order = lambda c, by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(by, c.alias("t")))), lambda x: x["t"]), "")
+    r = spans.withColumn("_b", F.when(F.col("role") == F.lag("role").over(w), 0).otherwise(1)).withColumn("_w", F.sum("_b").over(w))
+    g = r.groupBy("line", "_w", "role").agg(in_order(F.col("text"), "span").alias("_t"))
+    tag = F.when(F.col("role") == "super", F.concat(F.lit("<sup>"), "_t", F.lit("</sup>"))).when(F.col("role") == "sub", F.concat(F.lit("<sub>"), "_t", F.lit("</sub>"))).otherwise(F.col("_t"))
+    return g.groupBy("line").agg(in_order(tag, "_w").alias("text"))
+
+
+def smoothed_peaks(rows: DataFrame) -> DataFrame:
+    """(page, pos, smooth): where the mean of three neighbours of v, zero beyond the ends, is greatest nearby; the first of equals."""
+    w = Window.partitionBy("page").orderBy("pos")
+    m = (F.coalesce(F.lag("v").over(w), F.lit(0.0)) + F.col("v") + F.coalesce(F.lead("v").over(w), F.lit(0.0))) / 3
+    s = rows.withColumn("smooth", m)
+    s = s.withColumn("_peak", (F.col("smooth") > F.lag("smooth").over(w)) & (F.col("smooth") >= F.lead("smooth").over(w)))
+    return s.where("_peak").select("page", "pos", "smooth")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexflume.functions.text import tokens
@@ -32,3 +32,12 @@ def bag_wer(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
     m = count(b, "nb").join(count(a, "na"), [key, "w"], "left")
     m = m.groupBy(key).agg(F.sum("nb").alias("n"), F.sum(F.least("nb", F.coalesce("na", F.lit(0)))).alias("m"))
     return pairs.select(key).join(m, key, "left").select(key, F.when(F.col("n") > 0, F.round(F.greatest(F.lit(0.0), 1 - F.col("m") / F.col("n")), 4)).otherwise(1.0).alias("wer"))
+
+
+def upper_medians(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, upper_median) of value: counts are summed over its different values, so no group's rows are in one task."""
+    n = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(by)
+    upto = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    r = n.withColumns({"_to": upto, "_all": F.sum("_n").over(w)})
+    return r.where("_to > _all div 2").groupBy(by).agg(F.min(value).alias("upper_median"))

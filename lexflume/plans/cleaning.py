@@ -45,7 +45,7 @@ def c29_code_block(t):
     return a.select("conv_id", "turn", C.code_block(F.col("a")).alias("block"), C.is_echo(F.col("a")).alias("echo"))
 
 
-_FRONT = "substr(text, 1, cast(doc_id * 37 % 6000 as int)) || chr(10) || case doc_id % 4 when 0 then '## **Abstract**' when 1 then '# 1. Intro' when 2 then '### Background' else 'Plain' end || chr(10) || 'Body of ' || doc_id"
+_FRONT = "text || chr(10) || case doc_id % 4 when 0 then '## **Abstract**' when 1 then '# 1. Intro' when 2 then '### Background' else 'Plain' end || chr(10) || 'Body of ' || doc_id"
 _MARKS = "|".join(p.removeprefix("(?i)^") for p in C.BODY)
 
 
@@ -54,7 +54,7 @@ def f9_strip_front_matter(t):
     return t("documents").select("doc_id", C.strip_front_matter(F.expr(_FRONT)).alias("text"))
 
 
-_TITLE = "case doc_id % 5 when 0 then 'R E S E A R C H A R T I C L E of a b c d e f g' when 1 then 'Received: ' || substr(text, 1, 60) when 2 then 'Vol. 3 ' || substr(text, 1, 60) else substr(text, 1, cast(20 + doc_id % 60 as int)) end"
+_TITLE = "case doc_id % 5 when 0 then 'R E S E A R C H A R T I C L E of a b c d e f g' when 1 then 'Received: ' || text when 2 then 'Vol. 3 ' || text else text end"
 
 
 @query(rf"""with t as (select doc_id, regexp_replace({_TITLE}, '^\s+|\s+$', '', 'g') t from documents), k as (select *, list_filter(regexp_split_to_array(t, '\s+'), lambda x: x <> '') w from t),
@@ -64,9 +64,9 @@ def f2_good_title(t):
     return t("documents").select("doc_id", C.is_good_title(F.expr(_TITLE)).alias("good"))
 
 
-_TEX = r"'\\documentclass{x}' || chr(10) || '\\begin{document} \\section{One} % note' || chr(10) || replace(replace(replace(translate(text, '$%', ''), ' a', ' \\textbf{\\emph{b}} $x^2$ '), ' s', ' \\cite{k1} {y} '), ' w', ' \\begin{align} z \\end{align} \\foo ') || '\\end{document} tail'"
+_TEX = r"'\\documentclass{x}' || chr(10) || '\\begin{document} \\section{One} % note' || chr(10) || replace(replace(replace(translate(text, '$%', ''), ' a', ' \\textbf{\\emph{b}} $x^2$ '), ' s', ' \\cite{k1} {y} '), ' w', ' \\begin{' || case doc_id % 4 when 0 then 'align' when 1 then 'eqnarray*' when 2 then 'gather' else 'multline*' end || '} z \\end{' || case doc_id % 4 when 0 then 'align' when 1 then 'eqnarray*' when 2 then 'gather' else 'multline*' end || '} \\foo ') || '\\end{document} tail'"
 _TEX_SQL = _TEX.replace("\\\\", "\\")
-_TEX_STEPS = [(r"(?m)(^|[^\\])%[^\n]*$", r"\1"), (r"(?s)^.*?\\begin\{document\}", ""), (r"(?s)\\end\{document\}.*$", ""), (r"(?s)\\begin\{align\}.*?\\end\{align\}", " "), (r"\$[^$]*\$", " ")]
+_TEX_STEPS = [(r"(?m)(^|[^\\])%[^\n]*$", r"\1"), (r"(?s)^.*?\\begin\{document\}", ""), (r"(?s)\\end\{document\}.*$", ""), (r"(?s)\\begin\{(?:align|eqnarray\*|gather|multline\*)\}.*?\\end\{(?:align|eqnarray\*|gather|multline\*)\}", " "), (r"\$[^$]*\$", " ")]
 _TEX_CMDS = [(r"\\cite\{[^{}]*\}", " "), (r"\\[a-zA-Z@]+\s*\*?\s*(?:\[[^\]]*\])?\s*\{([^{}]*)\}", r"\1")]
 
 

@@ -24,18 +24,18 @@ def a1_dedupe_by_content(t):
     return pages.first_by_content(t("documents"), "text", "doc_id")
 
 
-@query("""with p as (select doc_id, substr(text, 1, (doc_id % 150)::int) cheap, substr(text, 1, 200) costly from documents)
+@query("""with p as (select doc_id, case doc_id % 3 when 0 then '' when 1 then text else translate(text, 'aeiou', '') end cheap, text costly from documents)
 select doc_id, case when length(trim(cheap)) >= 100 then cheap when length(trim(costly)) > length(trim(cheap)) then costly else cheap end as text,
  not length(trim(cheap)) >= 100 as fell_back from p""")
 def a8_auto_text(t):
-    p = t("documents").select("doc_id", F.expr("substr(text, 1, cast(doc_id % 150 as int))").alias("cheap"), F.expr("substr(text, 1, 200)").alias("costly"))
+    p = t("documents").select("doc_id", F.expr("case doc_id % 3 when 0 then '' when 1 then text else translate(text, 'aeiou', '') end").alias("cheap"), F.col("text").alias("costly"))
     return p.select("doc_id", pages.choose_text(F.col("cheap"), F.col("costly")).alias("text"), (F.length(F.trim("cheap")) < 100).alias("fell_back"))
 
 
-@query("select c.conv_id, c.turn, case when length(c.text) >= length(b.text) then c.text else b.text end as text from conversations c join benchmark b on c.conv_id = b.item_id")
+@query("select c.conv_id, c.turn, b.item_id, case when length(coalesce(c.text, '')) >= length(coalesce(b.text, '')) then coalesce(c.text, '') else b.text end as text from conversations c full join benchmark b on c.conv_id = b.item_id")
 def a9_compare_text(t):
-    j = t("conversations").alias("c").join(t("benchmark").alias("b"), F.expr("c.conv_id = b.item_id"))
-    return j.select("conv_id", "turn", pages.longer(F.col("c.text"), F.col("b.text")).alias("text"))
+    j = t("conversations").alias("c").join(t("benchmark").alias("b"), F.expr("c.conv_id = b.item_id"), "full")
+    return j.select("conv_id", "turn", "item_id", pages.longer(F.coalesce("c.text", F.lit("")), F.coalesce("b.text", F.lit(""))).alias("text"))
 
 
 @query("""select l_orderkey, l_linenumber, case when f = 0 and o <> 0 and l_discount * 40 >= 1.5 then ((-o % 360) + 360) % 360 end as rotation
@@ -73,9 +73,9 @@ def c16_dehyphenate(t):
     return t("documents").select("doc_id", T.dehyphenate(F.expr("replace(text, 'th', 'th-' || chr(10))")).alias("text"))
 
 
-@query("select doc_id, len(" + _TOKENS.format("text") + ") as n_tokens, array_to_string(list_slice(" + _TOKENS.format("text") + ", 1, 20), ' ') as head from documents")
+@query("select doc_id, len(" + _TOKENS.format("text") + ") as n_tokens, array_to_string(" + _TOKENS.format("text") + ", ' ') as tokens from documents")
 def c23_tokenize(t):
-    return t("documents").select("doc_id", T.tokens(F.col("text")).alias("k")).select("doc_id", F.size("k").cast("long").alias("n_tokens"), F.array_join(F.slice("k", 1, 20), " ").alias("head"))
+    return t("documents").select("doc_id", T.tokens(F.col("text")).alias("k")).select("doc_id", F.size("k").cast("long").alias("n_tokens"), F.array_join("k", " ").alias("tokens"))
 
 
 @query(r"""select p_partkey, trim(regexp_replace(lower(regexp_replace(p_name, '[^a-zA-Z0-9 ]', ' ', 'g')), '\s+', ' ', 'g')) as title_key,
@@ -179,8 +179,7 @@ def k4_corpus_aggregate(t):
 
 @query("select source, list_sort(list(n_chars))[len(list(n_chars)) // 2 + 1] as upper_median from documents group by source")
 def k8_upper_median(t):
-    ranked = t("documents").select("source", "n_chars", F.row_number().over(Window.partitionBy("source").orderBy("n_chars")).alias("r"), F.count(F.lit(1)).over(Window.partitionBy("source")).alias("n"))
-    return ranked.where("r = n div 2 + 1").select("source", F.col("n_chars").alias("upper_median"))
+    return metrics.upper_medians(t("documents"), "source", "n_chars")
 
 
 @query("""with d as (select case when length(text) % 5 = 0 then 'extract' when conf >= 0.85 then 'skip' when conf >= 0.55 then 'validate' else 'replace' end decision from (select text, (doc_id % 100) / 100.0 conf from documents))
@@ -212,28 +211,30 @@ def o1_worst_papers(t):
     return s.where("n_issues > 0").orderBy(F.desc("n_issues"), "coverage", "n_pages", "slug").limit(10)
 
 
-_PAIRS = "select c.conv_id, c.turn, c.text as a, b.text as b from conversations c join benchmark b on c.conv_id % 40 = b.item_id"
+#: Every conversation's turns with every benchmark text of their remainder; rows without a partner meet an empty text.
+_PAIRS = "select c.conv_id, c.turn, b.item_id, coalesce(c.text, '') as a, coalesce(b.text, '') || ' ' || coalesce(c.text, '') as b from conversations c full join benchmark b on c.conv_id % 200 = b.item_id % 200"
 
 
 def _pairs(t):
-    j = t("conversations").alias("c").join(t("benchmark").alias("b"), F.expr("c.conv_id % 40 = b.item_id"))
-    return j.select("c.conv_id", "c.turn", F.col("c.text").alias("a"), F.expr("concat(b.text, ' ', substr(c.text, 1, 40))").alias("b"))
+    j = t("conversations").alias("c").join(t("benchmark").alias("b"), F.expr("c.conv_id % 200 = b.item_id % 200"), "full")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return j.select("c.conv_id", "c.turn", "b.item_id", text("c.text").alias("a"), F.concat(text("b.text"), F.lit(" "), text("c.text")).alias("b"))
 
 
-@query(f"""with p as (select conv_id, turn, a, b || ' ' || substr(a, 1, 40) b from ({_PAIRS})), s as (select *, list_distinct({_TOKENS.format('a')}) x, list_distinct({_TOKENS.format('b')}) y from p),
+@query(f"""with p as ({_PAIRS}), s as (select *, list_distinct({_TOKENS.format('a')}) x, list_distinct({_TOKENS.format('b')}) y from p),
 m as (select *, len(list_intersect(x, y)) i, len(x) nx, len(y) ny from s), q as (select *, case when nx > 0 then i / nx else 0 end::double p, case when nx > 0 and ny > 0 then i / ny else 0 end::double r from m)
-select conv_id, turn, case when nx + ny - i > 0 then round(i / (nx + ny - i), 4) else 0 end::double as jaccard, round(p, 4) as "precision", round(r, 4) as recall,
+select conv_id, turn, item_id, case when nx + ny - i > 0 then round(i / (nx + ny - i), 4) else 0 end::double as jaccard, round(p, 4) as "precision", round(r, 4) as recall,
 case when p + r > 0 then round(2 * p * r / (p + r), 4) else 0 end::double as f1, case when length(b) > 0 then round(length(a) / length(b), 3) else 0 end::double as char_ratio from q""")
 def t1_t2_t4_word_metrics(t):
     return metrics.word_metrics(_pairs(t), "a", "b").drop("a", "b")
 
 
-@query(f"""with p as (select conv_id * 1000 + turn id, a, b || ' ' || substr(a, 1, 40) b from ({_PAIRS})), x as (select id, unnest({_TOKENS.format('a')}) w from p), y as (select id, unnest({_TOKENS.format('b')}) w from p),
+@query(f"""with p as (select concat_ws('-', conv_id, turn, item_id) id, a, b from ({_PAIRS})), x as (select id, unnest({_TOKENS.format('a')}) w from p), y as (select id, unnest({_TOKENS.format('b')}) w from p),
 nx as (select id, w, count(*) n from x group by all), ny as (select id, w, count(*) n from y group by all),
 m as (select ny.id, sum(ny.n) n, sum(least(ny.n, coalesce(nx.n, 0))) k from ny left join nx using (id, w) group by ny.id)
 select p.id, case when n > 0 then round(greatest(0, 1 - k / n), 4) else 1 end::double as wer from p left join m using (id)""")
 def t3_bag_wer(t):
-    return metrics.bag_wer(_pairs(t).withColumn("id", F.expr("conv_id * 1000 + turn")), "id", "a", "b")
+    return metrics.bag_wer(_pairs(t).withColumn("id", F.concat_ws("-", "conv_id", "turn", "item_id")), "id", "a", "b")
 
 
 @query("""with e as (select *, case when event_type = lag(event_type) over (partition by user_id order by event_id) then 0 else 1 end s from events),
