@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexflume.functions import cleaning as C
+from lexflume.operators import rollups
 from lexflume.plans.registry import query
 
 
@@ -77,29 +78,27 @@ def a25_strip_latex(t):
 
 @query("select l_orderkey as page, string_agg(l_shipmode_, ' ' order by l_linenumber, l_shipmode_) as text, count(*) as n from (select *, l_returnflag || l_partkey l_shipmode_ from lineitem where l_quantity >= 15) group by l_orderkey")
 def a26_a27_page_words(t):
-    w = t("lineitem").where("l_quantity >= 15").select("l_orderkey", F.struct("l_linenumber", F.expr("l_returnflag || l_partkey").alias("w")).alias("x"))
-    words = F.transform(F.array_sort(F.collect_list("x")), lambda x: x["w"])
-    return w.groupBy(F.col("l_orderkey").alias("page")).agg(F.array_join(words, " ").alias("text"), F.count(F.lit(1)).alias("n"))
+    w = t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("place"), F.expr("l_returnflag || l_partkey").alias("word"), F.col("l_quantity").alias("confidence"))
+    return rollups.page_words(w)
 
 
 @query("select coalesce(o_orderpriority, 'all') as confidence, count(*) filter (o_orderkey % 9 > 0) as success, count(*) filter (o_orderkey % 9 = 0) as cached, sum(case when o_orderkey % 9 > 0 then o_custkey end)::bigint as refs from orders group by rollup (o_orderpriority)")
 def k6_k7_k9_totals(t):
-    o = t("orders").rollup("o_orderpriority").agg(F.count_if(F.expr("o_orderkey % 9 > 0")).alias("success"), F.count_if(F.expr("o_orderkey % 9 = 0")).alias("cached"), F.sum(F.expr("case when o_orderkey % 9 > 0 then o_custkey end")).alias("refs"))
-    return o.select(F.coalesce("o_orderpriority", F.lit("all")).alias("confidence"), "success", "cached", "refs")
+    return rollups.totals(t("orders"), "o_orderpriority", F.expr("o_orderkey % 9 > 0"), F.col("o_custkey"))
 
 
 @query("""select event_type as extractor, count(*) filter (event_id % 10 > 0) as n_ok, count(*) filter (event_id % 10 = 0) as n_err, round(avg(case when event_id % 10 > 0 then (event_id % 1000) / 1000.0 end), 3) as avg_f1, round(avg(event_id % 60), 3) as avg_s from events group by event_type""")
 def k20_eval_summary(t):
-    ok = F.col("event_id") % 10 > 0
-    return t("events").groupBy(F.col("event_type").alias("extractor")).agg(F.count_if(ok).alias("n_ok"), F.count_if(~ok).alias("n_err"), F.round(F.avg(F.when(ok, F.col("event_id") % 1000 / 1000)), 3).alias("avg_f1"), F.round(F.avg(F.col("event_id") % 60), 3).alias("avg_s"))
+    e = t("events").select(F.col("event_type").alias("extractor"), (F.col("event_id") % 10 > 0).alias("ok"), (F.col("event_id") % 1000 / 1000).alias("f1"), (F.col("event_id") % 60).alias("seconds"))
+    return rollups.eval_summary(e)
 
 
 @query("""select l_orderkey as figure, arg_max(l_linenumber, {'p': case l_returnflag when 'A' then 3 when 'N' then 2 else 0 end, 'c': l_discount, 'n': -l_linenumber}) as best, count(*) as tried from lineitem group by l_orderkey""")
 def o4_o5_cascade_best(t):
-    rank = F.expr("struct(case l_returnflag when 'A' then 3 when 'N' then 2 else 0 end p, l_discount c, -l_linenumber n)")
-    return t("lineitem").groupBy(F.col("l_orderkey").alias("figure")).agg(F.max_by("l_linenumber", rank).alias("best"), F.count(F.lit(1)).alias("tried"))
+    rank = F.expr("case l_returnflag when 'A' then 3 when 'N' then 2 else 0 end")
+    return rollups.best_candidate(t("lineitem"), "l_orderkey", "l_linenumber", rank, F.col("l_discount"), -F.col("l_linenumber")).withColumnRenamed("l_orderkey", "figure")
 
 
 @query("select d.doc_id from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)")
-def q_pending(t):
-    return t("documents").select("doc_id").join(t("labels").select("doc_id"), "doc_id", "left_anti")
+def a20_pending(t):
+    return rollups.pending(t("documents"), t("labels"), "doc_id")
\ No newline at end of file

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexflume.functions import text as T
-from lexflume.operators import linking, metrics, pages, policies
+from lexflume.operators import linking, metrics, pages, policies, rollups
 from lexflume.plans.registry import query
 
 #: Dirty text made from clean: both engines read these expressions.
@@ -45,11 +45,9 @@ def a29_rotation_fix(t):
     return i.select("l_orderkey", "l_linenumber", policies.rotation(F.col("f"), F.col("o"), F.col("c")).alias("rotation"))
 
 
-@query("select source, count(*) as n_pages, count(*) filter (length(text) < 100) as n_low, list_sort(list(doc_id) filter (length(text) < 100))::varchar as pages from documents group by source")
+@query("select source, doc_id, length(text) as size from documents where length(text) < 100")
 def a30_low_confidence_pages(t):
-    low = F.length("text") < 100
-    ids = F.array_sort(F.collect_list(F.when(low, F.col("doc_id"))))
-    return t("documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_pages"), F.count_if(low).alias("n_low"), F.when(F.count_if(low) > 0, F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]"))).alias("pages"))
+    return rollups.low_pages(t("documents")).select("source", "doc_id", F.length("text").alias("size"))
 
 
 @query(f"select doc_id, replace({DIRTY}, '­', '') as text from documents")
@@ -191,24 +189,22 @@ def k11_p14_table_policy_cost(t):
 
 @query("select event_type as color, (user_id % 10)::int as cluster, count(*) as n, round(avg(value), 4) as mean, min(value) as lo, max(value) as hi from events group by all")
 def k14_scatter_summary(t):
-    return t("events").groupBy(F.col("event_type").alias("color"), (F.col("user_id") % 10).cast("int").alias("cluster")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return rollups.scatter_summary(t("events").select(F.col("event_type").alias("color"), (F.col("user_id") % 10).cast("int").alias("cluster"), "value"))
 
 
 @query("select user_id as fig, event_type as color, round(100.0 * count(*) / sum(count(*)) over (partition by user_id), 2)::double as pct from events group by 1, 2")
 def k15_pie_spans(t):
-    n = t("events").groupBy(F.col("user_id").alias("fig"), F.col("event_type").alias("color")).agg(F.count(F.lit(1)).alias("n"))
-    return n.select("fig", "color", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("fig")), 2).alias("pct"))
+    return rollups.pie_shares(t("events").select(F.col("user_id").alias("fig"), F.col("event_type").alias("color")))
 
 
 @query("select user_id as series, (event_id % 12)::int as x, median(value)::double as y from events group by 1, 2")
 def k17_line_medians(t):
-    return t("events").groupBy(F.col("user_id").alias("series"), (F.col("event_id") % 12).cast("int").alias("x")).agg(F.percentile("value", 0.5).alias("y"))
+    return rollups.line_medians(t("events").select(F.col("user_id").alias("series"), (F.col("event_id") % 12).cast("int").alias("x"), "value"))
 
 
 @query("select slug, n_issues, coverage, n_pages from (select doc_id as slug, doc_id % 5 as n_issues, (doc_id % 13) / 10.0 as coverage, doc_id % 40 as n_pages from documents) where n_issues > 0 order by n_issues desc, coverage, n_pages, slug limit 10")
 def o1_worst_papers(t):
-    s = t("documents").selectExpr("doc_id slug", "doc_id % 5 n_issues", "(doc_id % 13) / 10.0D coverage", "doc_id % 40 n_pages")
-    return s.where("n_issues > 0").orderBy(F.desc("n_issues"), "coverage", "n_pages", "slug").limit(10)
+    return rollups.worst_papers(t("documents").selectExpr("doc_id slug", "doc_id % 5 n_issues", "(doc_id % 13) / 10.0D coverage", "doc_id % 40 n_pages"))
 
 
 #: Every conversation's turns with every benchmark text of their remainder; rows without a partner meet an empty text.
@@ -240,18 +236,14 @@ def t3_bag_wer(t):
 @query("""with e as (select *, case when event_type = lag(event_type) over (partition by user_id order by event_id) then 0 else 1 end s from events),
 r as (select *, sum(s) over (partition by user_id order by event_id) run from e) select user_id, run::bigint as run, event_type, count(*) as n, min(event_id) as first_id from r group by all""")
 def w3_runs(t):
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    r = t("events").withColumn("s", F.when(F.col("event_type") == F.lag("event_type").over(w), 0).otherwise(1)).withColumn("run", F.sum("s").over(w))
-    return r.groupBy("user_id", "run", "event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
+    return rollups.runs_of(t("events"), "user_id", "event_id", "event_type")
 
 
 @query("""with s as (select user_id, event_type, max(value) score from events group by all), r as (select *, row_number() over (partition by user_id order by score desc, event_type) n, lead(score) over (partition by user_id order by score desc, event_type) runner_up from s)
 select user_id, event_type as kind, score, round(score - coalesce(runner_up, 0), 6) as margin from r where n = 1""")
 def w8_v20_top_and_margin(t):
-    s = t("events").groupBy("user_id", "event_type").agg(F.max("value").alias("score"))
-    w = Window.partitionBy("user_id").orderBy(F.desc("score"), "event_type")
-    r = s.withColumn("n", F.row_number().over(w)).withColumn("second", F.lead("score").over(w)).where("n = 1")
-    return r.select("user_id", F.col("event_type").alias("kind"), "score", F.round(F.col("score") - F.coalesce("second", F.lit(0.0)), 6).alias("margin"))
+    s = t("events").groupBy(F.col("user_id").alias("fig"), F.col("event_type").alias("kind")).agg(F.max("value").alias("score"))
+    return rollups.top_and_margin(s).withColumnRenamed("fig", "user_id")
 
 
 @query("""with c as (select user_id fig, event_id run_order, case event_type when 'click' then 'ok' when 'view' then 'partial' else 'failed' end status, round(value / (value + 10), 6) conf from events),
@@ -259,12 +251,8 @@ f as (select fig, min(run_order) stop from c where status = 'ok' and conf >= 0.8
 r as (select *, count(*) over (partition by fig) n_runs, row_number() over (partition by fig order by case status when 'ok' then 3 when 'partial' then 2 else 0 end desc, conf desc, run_order) k from u)
 select fig, run_order, status, conf, n_runs from r where k = 1""")
 def p1_cascade(t):
-    c = t("events").select(F.col("user_id").alias("fig"), F.col("event_id").alias("run_order"), F.expr("case event_type when 'click' then 'ok' when 'view' then 'partial' else 'failed' end").alias("status"), F.round(F.col("value") / (F.col("value") + 10), 6).alias("conf"))
-    stop = F.min(F.when((F.col("status") == "ok") & (F.col("conf") >= 0.8), F.col("run_order"))).over(Window.partitionBy("fig"))
-    u = c.withColumn("stop", stop).where("stop is null or run_order <= stop")
-    rank = F.expr("case status when 'ok' then 3 when 'partial' then 2 else 0 end")
-    best = u.groupBy("fig").agg(F.max_by(F.struct("run_order", "status", "conf"), F.struct(rank, F.col("conf"), -F.col("run_order"))).alias("b"), F.count(F.lit(1)).alias("n_runs"))
-    return best.select("fig", "b.*", "n_runs")
+    status = F.expr("case event_type when 'click' then 'ok' when 'view' then 'partial' else 'failed' end")
+    return rollups.cascade(t("events").select(F.col("user_id").alias("fig"), F.col("event_id").alias("run_order"), status.alias("status"), F.round(F.col("value") / (F.col("value") + 10), 6).alias("conf")))
 
 
 @query(r"""with s as (select doc_id, regexp_replace(text, '\s+', ' ', 'g') raw, case doc_id % 3 when 0 then 'verified' when 1 then 'mismatch' else 'not_found' end verdict from documents)
@@ -277,17 +265,16 @@ def p13_reference_policy(t):
 @query("""with g as (select user_id kind, value v, row_number() over (partition by user_id order by value, event_id) r from events where event_type = 'click'), h as (select user_id kind, value v, row_number() over (partition by user_id order by value, event_id) r from events where event_type = 'view')
 select kind, count(*) as n, round(avg(abs(g.v - h.v)), 4) as mae from g join h using (kind, r) group by kind""")
 def t6_rank_error(t):
-    w = Window.partitionBy("kind").orderBy("v", "event_id")
-    side = lambda k: t("events").where(F.col("event_type") == k).select(F.col("user_id").alias("kind"), F.col("value").alias("v"), "event_id").withColumn("r", F.row_number().over(w)).drop("event_id")
-    return side("click").join(side("view").withColumnRenamed("v", "u"), ["kind", "r"]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.abs(F.col("v") - F.col("u"))), 4).alias("mae"))
+    side = lambda k: t("events").where(F.col("event_type") == k).select(F.col("user_id").alias("kind"), "value", F.col("event_id").alias("id"))
+    return rollups.rank_error(side("click"), side("view"))
 
 
 @query("""select l_orderkey, l_linenumber, least(2, floor((l_quantity * 10 + 30) / 600.0 * 3))::bigint as col, round(l_discount * 2.5 + 7, 6) as value,
 least(1.0, greatest(0.0, (l_quantity - 10) / 30.0))::double as scaled from lineitem""")
 def g12_g27_v6_geometry(t):
-    li = t("lineitem")
-    scaled = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("l_quantity") - 10) / 30.0))
-    return li.select("l_orderkey", "l_linenumber", F.least(F.lit(2), F.floor((F.col("l_quantity") * 10 + 30) / 600.0 * 3)).cast("long").alias("col"), F.round(F.col("l_discount") * 2.5 + 7, 6).alias("value"), scaled.cast("double").alias("scaled"))
+    q = F.col("l_quantity")
+    geometry = [rollups.column_of(q * 10 + 30, 600.0, 3).cast("long").alias("col"), F.round(rollups.calibrated(F.col("l_discount"), 2.5, 7), 6).alias("value"), rollups.clamped(q, 10, 40).cast("double").alias("scaled")]
+    return t("lineitem").select("l_orderkey", "l_linenumber", *geometry)
 
 
 _SPANS = "select l_orderkey as line, l_linenumber as span, (6 + l_quantity % 5)::double as size, (l_partkey % 8)::double as baseline from lineitem"
@@ -296,61 +283,46 @@ _SPANS = "select l_orderkey as line, l_linenumber as span, (6 + l_quantity % 5):
 @query(f"""with s as ({_SPANS}), m as (select line, list_sort(list(size))[count(*) // 2 + 1] med, list_sort(list(baseline))[count(*) // 2 + 1] base from s group by line)
 select s.line, span, case when size <= 0.85 * med and base - baseline >= 0.15 * med then 'super' when size <= 0.85 * med and baseline - base >= 0.15 * med then 'sub' else 'body' end as role from s join m using (line)""")
 def g15_span_roles(t):
-    s = t("lineitem").selectExpr("l_orderkey line", "l_linenumber span", "cast(6 + l_quantity % 5 as double) size", "cast(l_partkey % 8 as double) baseline")
-    # the upper median of a line's spans: lines are short, so their spans may be gathered
-    mid = lambda c: F.element_at(F.array_sort(F.collect_list(c)), F.expr("cast(count(1) div 2 + 1 as int)"))
-    m = s.groupBy("line").agg(mid("size").alias("med"), mid("baseline").alias("base"))
-    small, off = F.col("size") <= 0.85 * F.col("med"), F.col("base") - F.col("baseline")
-    role = F.when(small & (off >= 0.15 * F.col("med")), "super").when(small & (-off >= 0.15 * F.col("med")), "sub").otherwise("body")
-    return s.join(m, "line").select("line", "span", role.alias("role"))
+    return rollups.span_roles(t("lineitem").selectExpr("l_orderkey line", "l_linenumber span", "cast(6 + l_quantity % 5 as double) size", "cast(l_partkey % 8 as double) baseline"))
 
 
 @query("""with f as (select p_partkey fig, p_size num, case when p_partkey % 3 = 0 then ' ' else p_name end caption from part), c as (select ps num, min(n) caption from (select s_suppkey % 50 + 1 ps, s_name n from supplier) group by ps)
 select fig, f.num, coalesce(nullif(trim(f.caption), ''), c.caption) as caption from f left join c on f.num = c.num""")
 def j8_backfill_captions(t):
     f = t("part").select(F.col("p_partkey").alias("fig"), F.col("p_size").alias("num"), F.expr("case when p_partkey % 3 = 0 then ' ' else p_name end").alias("own"))
-    c = t("supplier").groupBy((F.col("s_suppkey") % 50 + 1).alias("n")).agg(F.min("s_name").alias("found"))
-    return f.join(c, f["num"] == c["n"], "left").select("fig", "num", F.coalesce(F.nullif(F.trim("own"), F.lit("")), "found").alias("caption"))
+    return rollups.backfilled(f, t("supplier").select((F.col("s_suppkey") % 50 + 1).alias("num"), F.col("s_name").alias("text")).withColumnRenamed("num", "num"))
 
 
 @query("""with x as (select distinct user_id d, event_id % 50 m from events where event_type = 'view'), y as (select distinct user_id d, event_id % 50 m from events where event_type = 'click')
 select d as doc, m as marker from x where not exists (select 1 from y where y.d = x.d and y.m = x.m)""")
 def u4_orphan_markers(t):
-    side = lambda k: t("events").where(F.col("event_type") == k).select(F.col("user_id").alias("doc"), (F.col("event_id") % 50).alias("marker")).distinct()
-    return side("view").join(side("click"), ["doc", "marker"], "left_anti")
+    side = lambda k: t("events").where(F.col("event_type") == k).select(F.col("user_id").alias("doc"), (F.col("event_id") % 50).alias("marker"))
+    return rollups.orphans(side("view"), side("click"), "doc", "marker")
 
 
 @query("""select user_id as fig, (event_id % 6)::int as bar, coalesce(sum(value) filter (event_type = 'click'), 0)::double as click, coalesce(sum(value) filter (event_type = 'view'), 0)::double as "view", round(sum(value), 4)::double as total
 from events where event_type in ('click', 'view') group by 1, 2""")
 def k16_stacked_matrix(t):
-    e = t("events").where("event_type in ('click', 'view')").withColumn("bar", (F.col("event_id") % 6).cast("int"))
-    p = e.groupBy(F.col("user_id").alias("fig"), "bar").pivot("event_type", ["click", "view"]).agg(F.sum("value"))
-    total = F.round(F.coalesce("click", F.lit(0.0)) + F.coalesce("view", F.lit(0.0)), 4)
-    return p.select("fig", "bar", F.coalesce("click", F.lit(0.0)).alias("click"), F.coalesce("view", F.lit(0.0)).alias("view"), total.alias("total"))
+    return rollups.stacked_matrix(t("events").select(F.col("user_id").alias("fig"), (F.col("event_id") % 6).cast("int").alias("bar"), F.col("event_type").alias("kind"), "value"), ["click", "view"])
 
 
 @query("""with s as (select user_id fig, count(*) n, count(*) filter (event_type = 'click') ok, count(*) filter (event_type = 'view') partial from events group by 1)
 select fig, case when ok = n then 'ok' when ok + partial > 0 then 'partial' else 'failed' end as status, round((0.95 * ok + 0.5 * partial) / n, 6)::double as confidence from s""")
 def k18_multipanel_rollup(t):
-    s = t("events").groupBy(F.col("user_id").alias("fig")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "click").alias("ok"), F.count_if(F.col("event_type") == "view").alias("partial"))
-    status = F.when(F.col("ok") == F.col("n"), "ok").when(F.col("ok") + F.col("partial") > 0, "partial").otherwise("failed")
-    return s.select("fig", status.alias("status"), F.round((0.95 * F.col("ok") + 0.5 * F.col("partial")) / F.col("n"), 6).alias("confidence"))
+    return rollups.panel_status(t("events").select(F.col("user_id").alias("fig"), F.expr("case event_type when 'click' then 'ok' when 'view' then 'partial' end").alias("status")))
 
 
 @query("""select event_type as kind, (user_id % 3)::int as cond, count(*) as n, round(avg((value > 20)::int), 6)::double as accuracy from events
 group by grouping sets ((event_type, (user_id % 3)::int), (event_type), ((user_id % 3)::int), ())""")
 def k19_accuracy_by_kind(t):
-    e = t("events").select(F.col("event_type").alias("kind"), (F.col("user_id") % 3).cast("int").alias("cond"), (F.col("value") > 20).cast("int").alias("hit"))
-    return e.cube("kind", "cond").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("hit"), 6).alias("accuracy"))
+    return rollups.accuracies(t("events").select(F.col("event_type").alias("kind"), (F.col("user_id") % 3).cast("int").alias("cond"), (F.col("value") > 20).cast("int").alias("hit")))
 
 
 @query("""with s as (select user_id, event_type, max(value) / 100 score from events group by all), r as (select *, row_number() over (partition by user_id order by score desc, event_type) n from s)
 select user_id, string_agg(event_type, '>' order by n) as ladder from r where n <= 3 and score >= 0.15 group by user_id""")
 def o3_specialist_ladder(t):
-    s = t("events").groupBy("user_id", "event_type").agg((F.max("value") / 100).alias("score"))
-    r = s.withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("score"), "event_type"))).where("n <= 3 and score >= 0.15")
-    rungs = F.array_sort(F.collect_list(F.struct("n", "event_type")))  # three at most
-    return r.groupBy("user_id").agg(F.array_join(F.transform(rungs, lambda x: x["event_type"]), ">").alias("ladder"))
+    s = t("events").groupBy(F.col("user_id").alias("fig"), F.col("event_type").alias("kind")).agg((F.max("value") / 100).alias("score"))
+    return rollups.ladder(s).withColumnRenamed("fig", "user_id")
 
 
 @query("""with n as (select l_orderkey fig, l_linenumber node, l_quantity * 10 x, (l_partkey % 100) * 5.0 y from lineitem where l_linenumber <= 4), p as (select l_orderkey fig, l_linenumber pt, l_quantity * 10 px, (l_suppkey % 100) * 5.0 py from lineitem where l_linenumber > 4),
@@ -359,6 +331,4 @@ select fig, pt, node from r where k = 1""")
 def j14_nearest_node(t):
     li = t("lineitem")
     n = li.where("l_linenumber <= 4").selectExpr("l_orderkey fig", "l_linenumber node", "l_quantity * 10 x", "(l_partkey % 100) * 5.0D y")
-    p = li.where("l_linenumber > 4").selectExpr("l_orderkey fig", "l_linenumber pt", "l_quantity * 10 px", "(l_suppkey % 100) * 5.0D py")
-    d = p.join(n, "fig").withColumn("d2", F.expr("(px - x) * (px - x) + (py - y) * (py - y)")).where("d2 <= 6400")
-    return d.groupBy("fig", "pt").agg(F.min_by("node", F.struct("d2", "node")).alias("node"))
+    return rollups.nearest_nodes(li.where("l_linenumber > 4").selectExpr("l_orderkey fig", "l_linenumber pt", "l_quantity * 10 px", "(l_suppkey % 100) * 5.0D py"), n)
\ No newline at end of file
