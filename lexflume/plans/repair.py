@@ -18,8 +18,8 @@ def _put(column: str, pairs: dict[str, str]) -> str:
 
 
 def _damaged(good: dict[str, str], bad: dict[str, str]):
-    """SQL of texts with good in place of the keys, and the Spark expression with the damage in the same places."""
-    return f"select doc_id, {_put('text', good)} as text from documents", F.expr(_put("text", bad))
+    """SQL of texts with good in place of the keys, and the expression with the damage in the same places."""
+    return f"select doc_id, {_put('text', good)} as text from documents", _put("text", bad)
 
 
 # each key stands in many of the texts; what it becomes has a damaged and a sound form
@@ -29,7 +29,7 @@ _C3_SQL, _C3_BAD = _damaged({k: g for k, (_, g) in _C3.items()}, {k: b for k, (b
 
 @query(f"select doc_id, trim(translate(text, '¨˘˙˜ˆ', '')) as text from ({_C3_SQL})")
 def c3_c4_diacritics(t):
-    return t("documents").select("doc_id", F.trim(P.float_diacritics(_C3_BAD)).alias("text"))
+    return t("documents").select("doc_id", F.trim(P.float_diacritics(F.expr(_C3_BAD))).alias("text"))
 
 
 _C5_SQL, _C5_BAD = _damaged({" the ": " significant field, flowers’ profile_x fower2 ", " de ": " Fields: efficient "}, {" the ": " signifcant feld, fowers’ profile_x fower2 ", " de ": " Fields: efcient "})
@@ -37,7 +37,7 @@ _C5_SQL, _C5_BAD = _damaged({" the ": " significant field, flowers’ profile_x
 
 @query(_C5_SQL)
 def c5_dropped_ligatures(t):
-    return t("documents").select("doc_id", P.dropped_ligatures(_C5_BAD).alias("text"))
+    return t("documents").select("doc_id", P.dropped_ligatures(F.expr(_C5_BAD)).alias("text"))
 
 
 _C10_SQL, _C10_BAD = _damaged({" the ": " cm·min⁻¹ x² [3] (4) ", " de ": " R_⁺²⁼ [−] "}, {" the ": " cm·min[−][1] x[2] [3] (4) ", " de ": " R_[+2=] [−] "})
@@ -45,7 +45,7 @@ _C10_SQL, _C10_BAD = _damaged({" the ": " cm·min⁻¹ x² [3] (4) ", " de ": "
 
 @query(_C10_SQL)
 def c10_superscripts(t):
-    return t("documents").select("doc_id", P.superscripts(_C10_BAD).alias("text"))
+    return t("documents").select("doc_id", P.superscripts(F.expr(_C10_BAD)).alias("text"))
 
 
 _C12 = "'  ' || replace(replace(text, ' ', ' * '), '. ', '[1, 2*] ')"
@@ -61,7 +61,7 @@ _C18_SQL, _C18_BAD = _damaged({" the ": " 35°30′59.5″ N 7×7 a × b 3±1 H
 
 @query(_C18_SQL)
 def c17_c18_math_marks(t):
-    return t("documents").select("doc_id", P.math_marks(_C18_BAD).alias("text"))
+    return t("documents").select("doc_id", P.math_marks(F.expr(_C18_BAD)).alias("text"))
 
 
 _C9 = "replace(replace(text, chr(10), '<br>  ' || chr(10)), '. ', '. <br/> ') || '<br >'"
