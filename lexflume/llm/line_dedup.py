@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm.common import connected_components, kept, mix64, split_join, table
+from lexflume.llm.common import connected_components, freed, kept, mix64, split_join, table
 
 EDITS, SHORT, FUZZY = 2, 16, 32
 #: Sketches, or keys of pairs, that are compared at once.
@@ -119,7 +119,7 @@ def _entries(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFra
 
         def flush():
             k, lid, sketch, probe = keys(lines, np.array(lids, np.int64), powers)
-            return pd.DataFrame({"key": k, "lid": lid, "sketch": sketch, "probe": probe})
+            return pd.DataFrame({"key": k, "lid": lid, "mark": sketch.view(np.uint32).astype(np.int64) << 1 | probe})
 
         for text in b["text"]:
             for x in text.split("\n") if isinstance(text, str) else ():
@@ -219,7 +219,8 @@ def _frame(key, rows: np.ndarray, whole: bool) -> pd.DataFrame:
 def _candidates(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
     """Of entries sorted by key the lines that have near ones under a key; all entries of a key with more than most."""
     for b, whole in _groups(batches, ["key"], most):
-        key, lid, sketch, role = b["key"].to_numpy(), b["lid"].to_numpy(), b["sketch"].to_numpy().view(np.uint32), np.where(b["probe"].to_numpy(bool), 2, 1)
+        key, lid, mark = b["key"].to_numpy(), b["lid"].to_numpy(), b["mark"].to_numpy()
+        sketch, role = (mark >> 1).astype(np.uint32), 1 + (mark & 1)
         if not whole:
             yield _frame(key, np.stack([lid, sketch.view(np.int32).astype(np.int64), role]), False)
             continue
@@ -429,9 +430,10 @@ def links(docs: DataFrame, each: DataFrame, least: int = SHORT) -> DataFrame:
     A line may have several rows: its links are the sum of k, and the pairs a, b hang together what links do. each is
     different(lines_of(docs)). Lines of one text share a lid, so a frequent line is one line here.
     """
-    entries = docs.select("text").mapInPandas(lambda batches: _entries(batches, least), "key long, lid long, sketch int, probe boolean")
+    entries = docs.select("text").mapInPandas(lambda batches: _entries(batches, least), "key long, lid long, mark long")
     gather = GATHER
     some = kept(entries.repartition("key").sortWithinPartitions("key").mapInPandas(lambda batches: _candidates(batches, gather), CANDIDATE))
+    freed(docs.sparkSession)
     many = some.where("not whole").withColumn("points", F.lit(1))
     if many.take(1):
         order = ["key", "lo", "hi"]
