@@ -476,3 +476,76 @@ def test_html_rows(spark):
     rows = [(1, "u", "<p>one</p>", "x", 9)] * 2 + [(None, None, "<p>two &#x41; &bogus;</p>", None, None), (2, "v", "<p>" + "word " * 200_000 + "</p>", "", 0)]
     got = sorted(((r["page_id"] or 0, r["text"][:9], r["n_chars"]) for r in html_text.extract(spark.createDataFrame(rows, schema)).collect()))
     assert got == [(0, "two A &bo", 13), (1, "one", 3), (1, "one", 3), (2, "word word", 999_999)]
+
+
+def test_near_duplicates_recall_against_all_pairs(spark, small):
+    cache = minhash.Words()
+    sets = {i: (a, n.astype(float)) for i, t in small if len(h := minhash.words(t, cache)) for a, n in [minhash.shingles(h)]}
+    ids = sorted(sets)
+    pairs = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if minhash.similarity(sets[a], sets[b]) >= minhash.SIMILAR]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.op8_minhash(spark, DIR).collect()}
+    assert len(pairs) > 0 and sum(got[a] == got[b] for a, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_mixing_targets_and_taken_match_brute_force(spark, small):
+    rows = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "source").collect()
+    source, size = dict(rows), {i: len(WORD.findall(t or "")) for i, t in small}
+    of = collections.Counter()
+    for i, n in size.items():
+        of[source[i]] += n
+    names = sorted((x for x in of if x is not None)) + ([None] if None in of else [])
+    weight = {x: (1, 2, 3)[k % 3] for k, x in enumerate(names)}
+    left, free, target = float(sum(of.values())), set(names), {}
+    while free:  # pour in proportion to weights; what would run over is full and leaves
+        level = left / sum(weight[x] for x in free)
+        full = {x for x in free if level * weight[x] >= 3 * of[x]}
+        if not full:
+            target |= {x: level * weight[x] for x in free}
+            break
+        target |= {x: 3.0 * of[x] for x in full}
+        left, free = left - sum(3 * of[x] for x in full), free - full
+    got = mixing.op4_mixing(spark, DIR).collect()
+    taken = collections.Counter()
+    for r in got:
+        assert r["size"] == size[r["doc_id"]] and r["source_size"] == of[source[r["doc_id"]]]
+        assert math.isclose(r["target"], target[source[r["doc_id"]]], rel_tol=1e-9) and r["taken"] <= 3 * r["size"]
+        taken[source[r["doc_id"]]] += r["taken"]
+    assert all(abs(taken[x] - target[x]) <= 1 for x in names)
+
+
+def test_training_matches_a_plain_loop():
+    rng = np.random.default_rng(12)
+    rows = [(np.sort(rng.choice(50, 6, replace=False)).astype(np.int64), rng.random(6), float(rng.integers(0, 2))) for _ in range(60)]
+    a, b = quality_classifier.train(rows), quality_classifier.train([(i.copy(), v.copy(), y) for i, v, y in rows])
+    assert a.shape == ((1 << quality_classifier.BITS) + 1,) and (a == b).all()  # runs agree
+    untouched = np.setdiff1d(np.arange(1 << quality_classifier.BITS), np.arange(50))
+    assert not a[untouched].any()
+    ones = [(np.array([3], np.int64), np.array([1.0]), 1.0), (np.array([7], np.int64), np.array([1.0]), 0.0)] * 200
+    w = quality_classifier.train(ones)
+    assert w[3] > 0 > w[7]
+
+
+STAGED = {"op4": mixing.stage, "op5": quality_rules.stage, "op7": packing.stage, "op8": minhash.stage, "op10": line_dedup.stage}
+
+
+@pytest.mark.parametrize("name", STAGED)
+def test_stages_with_empty_tables_nulls_and_clashing_columns(spark, name):
+    empty = docs(spark, [])
+    out = STAGED[name](spark, empty, "")
+    assert out.count() == 0 and (name == "op7" or out.columns == empty.columns)
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, words, "en", "s"), (2, words, "en", "s"), (None, words, "en", "s"), (3, None, None, None), (4, "", "en", "s"), (5, "other " * 3 + "\n" + "x" * 60_000, "en", "t"), (6, words + " more", "en", "t"), (6, words + " more", "en", "t")]
+    got = STAGED[name](spark, docs(spark, rows), "").collect()
+    ids = collections.Counter(r["doc_id"] for r in got)
+    if name == "op8":  # one of each class stays, and rows without an id
+        assert ids == {1: 1, None: 1, 3: 1, 4: 1, 5: 1}
+    elif name == "op5":  # too few words
+        assert not {3, 4, 5} & set(ids) and {1, 2, None} <= set(ids)
+    elif name == "op10":
+        assert ids == {1: 1, 2: 1, None: 1, 3: 1, 4: 1, 5: 1, 6: 2}
+        text = {r["doc_id"]: r["text"] for r in got}
+        assert text[None] == words and text[1] == text[2] == "" and text[3] is None and text[4] == "" and len(text[5]) == 60_019
+    elif name == "op7":
+        assert set(ids) == {1, 2, 3, 4, 5, 6, None} and all(r["length"] > 0 for r in got)
+    else:  # nothing is taken of what has no words
+        assert not {3, 4} & set(ids)
