@@ -23,7 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local["):
+        if not named and not sc.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexflume-"))
     return sc._jsc.sc().getCheckpointDir().get()
