@@ -41,3 +41,9 @@ def upper_medians(rows: DataFrame, by: str, value: str) -> DataFrame:
     upto = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     r = n.withColumns({"_to": upto, "_all": F.sum("_n").over(w)})
     return r.where("_to > _all div 2").groupBy(by).agg(F.min(value).alias("upper_median"))
+
+
+def distinct_words(rows: DataFrame, by: str, text: str) -> DataFrame:
+    """(by, n): how many different words a group's texts hold; combined before the shuffle, without gathering them."""
+    w = rows.select(by, F.explode(F.array_distinct(tokens(F.col(text)))).alias("_w")).distinct()
+    return w.groupBy(by).agg(F.count(F.lit(1)).alias("n"))

@@ -154,3 +154,26 @@ def pending(rows: DataFrame, done: DataFrame, key: str, only: list | None = None
     """The keys of rows that aren't done; of those asked for, if any are."""
     rows = rows if only is None else rows.where(F.col(key).isin(*only))
     return rows.select(key).join(done.select(key), key, "left_anti")
+
+
+def totals_of(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row: the sum of each column over all papers."""
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in columns])
+
+
+def batch_report(rows: DataFrame) -> DataFrame:
+    """(report): one JSON object with the counts of a batch's papers (status, seconds), for a text sink."""
+    n = lambda s: F.count_if(F.col("status") == s)
+    r = rows.agg(F.count(F.lit(1)).alias("total"), n("ok").alias("ok"), n("failed").alias("failed"), F.coalesce(F.sum("seconds"), F.lit(0)).cast("long").alias("seconds"))
+    return r.select(F.to_json(F.struct("total", "ok", "failed", "seconds")).alias("report"))
+
+
+def with_texts(figures: DataFrame, texts: DataFrame) -> DataFrame:
+    """figures (fig, ...) with the text that was read in each, or null; of several the first."""
+    return figures.join(texts.groupBy("fig").agg(F.min("text").alias("text")), "fig", "left")
+
+
+def regions(images: DataFrame, empty: DataFrame) -> DataFrame:
+    """(page, region, x0, y0, x1, y1, is_image): what a caption can belong to, images and empty places."""
+    cols = ["page", "region", "x0", "y0", "x1", "y1"]
+    return images.select(*cols, F.lit(True).alias("is_image")).unionByName(empty.select(*cols, F.lit(False).alias("is_image")))

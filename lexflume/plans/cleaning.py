@@ -72,7 +72,7 @@ _TEX_CMDS = [(r"\\cite\{[^{}]*\}", " "), (r"\\[a-zA-Z@]+\s*\*?\s*(?:\[[^\]]*\])?
 
 
 @query("select doc_id, trim(" + _nest(_nest(_nest(_TEX_SQL, _TEX_STEPS), _TEX_CMDS, 8), [(r"\\[a-zA-Z@]+\*?", " "), ("[{}]", " "), (r"\s+", " ")]) + ") as text from documents")
-def a25_strip_latex(t):
+def a25_c25_strip_latex(t):
     return t("documents").select("doc_id", C.strip_latex(F.expr(_TEX)).alias("text"))
 
 

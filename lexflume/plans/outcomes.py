@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexflume.operators import charts, metrics, rollups
 from lexflume.operators import outcomes as O
 from lexflume.plans.charts import _items
 from lexflume.plans.registry import query
@@ -91,3 +92,41 @@ def u8_word_differences(t):
 def b6_b8_report_lines(t):
     d = t("documents").select("doc_id", "lang", "n_chars", (F.col("doc_id") % 97 / F.lit(101.0)).alias("coverage"))
     return O.report_lines(d, "doc_id", "lang", "n_chars", "coverage")
+
+
+@query("select coalesce(sum(n_chars), 0)::bigint as n_chars, coalesce(sum(doc_id % 7), 0)::bigint as n_figures from documents")
+def k21_totals(t):
+    return rollups.totals_of(t("documents").select("n_chars", (F.col("doc_id") % 7).alias("n_figures")), "n_chars", "n_figures")
+
+
+@query("""with w as (select distinct lang, unnest(regexp_extract_all(regexp_replace(lower(text), '[^\\x00-\\x7f]', ' ', 'g'), '[a-z0-9]+')) w from documents) select lang, count(*) as n from w group by lang""")
+def k22_distinct_words(t):
+    return metrics.distinct_words(t("documents"), "lang", "text")
+
+
+@query("""select '{"total":' || count(*) || ',"ok":' || count(*) filter (doc_id % 4 > 0) || ',"failed":' || count(*) filter (doc_id % 4 = 0) || ',"seconds":' || sum(doc_id % 60)::bigint || '}' as report from documents""")
+def b12_batch_report(t):
+    return rollups.batch_report(t("documents").selectExpr("case when doc_id % 4 > 0 then 'ok' else 'failed' end as status", "doc_id % 60 as seconds"))
+
+
+@query("select o_orderkey as fig, o_custkey as paper, x.text as text from orders left join (select l_orderkey, min(l_returnflag || l_partkey) as text from lineitem where l_linenumber > 2 group by 1) x on l_orderkey = o_orderkey")
+def a21_figure_texts(t):
+    texts = t("lineitem").where("l_linenumber > 2").selectExpr("l_orderkey as fig", "l_returnflag || l_partkey as text")
+    return rollups.with_texts(t("orders").selectExpr("o_orderkey as fig", "o_custkey as paper"), texts)
+
+
+_REGION = "l_orderkey as page, l_linenumber as region, cast(l_quantity as double) as x0, cast(l_partkey % 90 as double) as y0, cast(l_quantity + 40 as double) as x1, cast(l_partkey % 90 + 30 as double) as y1"
+
+
+@query(f"select {_REGION}, l_suppkey % 2 = 0 as is_image from lineitem where l_suppkey % 3 <> 2")
+def u6_regions(t):
+    side = lambda where: t("lineitem").where(f"l_suppkey % 3 <> 2 and {where}").selectExpr(*_items(_REGION))
+    return rollups.regions(side("l_suppkey % 2 = 0"), side("l_suppkey % 2 = 1"))
+
+
+@query("""select o_orderkey as chart, case when o_orderkey % 4 = 0 then 'b,a,Category 3,d' else 'b,a,c,d' end as labels from orders""")
+def j15_bar_labels(t):
+    word = lambda at, text: F.struct(F.expr(f"cast({at} as double)").alias("at"), F.lit(text).alias("text"))
+    words = F.array(word("20 + o_orderkey % 5", "a"), word("10 - o_orderkey % 4", "b"), word("case when o_orderkey % 4 = 0 then 99 else 31 end", "c"), word("40 + o_orderkey % 3", "d"))
+    centres = F.array(*[F.lit(x) for x in (10.0, 20.0, 30.0, 40.0)])
+    return t("orders").select(F.col("o_orderkey").alias("chart"), F.array_join(charts.labelled(centres, words, F.lit(10.0)), ",").alias("labels"))

@@ -151,7 +151,7 @@ def j7_pair_captions(t):
 
 
 @query("""select user_id as doc, event_id as pos, (select max(m.event_id) from events m where m.user_id = e.user_id and m.event_type = 'error' and m.event_id < e.event_id) as marker from events e where event_type <> 'error'""")
-def j13_last_marker(t):
+def j13_w5_last_marker(t):
     e = t("events").select(F.col("user_id").alias("doc"), F.col("event_id").alias("pos"), "event_type")
     return linking.last_marker(e.where("event_type <> 'error'"), e.where("event_type = 'error'").withColumn("marker", F.col("pos")))
 
@@ -170,7 +170,7 @@ _STATS = "select source as slug, lang, doc_id % 40 as n_pages, length(text) % 9
 @query(f"""with s as ({_STATS}) select lang, count(*) as n_papers, sum(n_pages)::bigint as total_pages, sum(n_figures)::bigint as total_figures,
 round(coalesce(avg(nullif(coverage, 0)), 0)::double, 3) as mean_coverage, case when sum(n_figures) <> 0 then round(100.0 * sum(n_captioned) / sum(n_figures), 1) else 0 end::double as pct_captioned
 from s group by lang""")
-def k4_corpus_aggregate(t):
+def k4_k5_corpus_aggregate(t):
     s = t("documents").selectExpr("lang", "doc_id % 40 n_pages", "length(text) % 9 n_figures", "(length(text) % 9 * (doc_id % 3)) div 3 n_captioned", "(doc_id % 13) / 10.0D coverage")
     return s.groupBy("lang").agg(F.count(F.lit(1)).alias("n_papers"), F.sum("n_pages").alias("total_pages"), F.sum("n_figures").cast("long").alias("total_figures"), F.round(F.coalesce(F.avg(F.nullif("coverage", F.lit(0.0))), F.lit(0.0)), 3).alias("mean_coverage"), policies.pct(F.sum("n_captioned"), F.sum("n_figures")).cast("double").alias("pct_captioned"))
 
@@ -221,7 +221,7 @@ def _pairs(t):
 m as (select *, len(list_intersect(x, y)) i, len(x) nx, len(y) ny from s), q as (select *, case when nx > 0 then i / nx else 0 end::double p, case when nx > 0 and ny > 0 then i / ny else 0 end::double r from m)
 select conv_id, turn, item_id, case when nx + ny - i > 0 then round(i / (nx + ny - i), 4) else 0 end::double as jaccard, round(p, 4) as "precision", round(r, 4) as recall,
 case when p + r > 0 then round(2 * p * r / (p + r), 4) else 0 end::double as f1, case when length(b) > 0 then round(length(a) / length(b), 3) else 0 end::double as char_ratio from q""")
-def t1_t2_t4_word_metrics(t):
+def t1_t2_t4_u1_u2_word_metrics(t):
     return metrics.word_metrics(_pairs(t), "a", "b").drop("a", "b")
 
 
@@ -229,7 +229,7 @@ def t1_t2_t4_word_metrics(t):
 nx as (select id, w, count(*) n from x group by all), ny as (select id, w, count(*) n from y group by all),
 m as (select ny.id, sum(ny.n) n, sum(least(ny.n, coalesce(nx.n, 0))) k from ny left join nx using (id, w) group by ny.id)
 select p.id, case when n > 0 then round(greatest(0, 1 - k / n), 4) else 1 end::double as wer from p left join m using (id)""")
-def t3_bag_wer(t):
+def t3_u3_bag_wer(t):
     return metrics.bag_wer(_pairs(t).withColumn("id", F.concat_ws("-", "conv_id", "turn", "item_id")), "id", "a", "b")
 
 

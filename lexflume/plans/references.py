@@ -31,7 +31,7 @@ select doc_id, strategy, ref_no, text, nullif(regexp_extract(text, '{R.DOI}', 1)
  coalesce(nullif(regexp_extract(text, '\((\d{{4}})[a-z]?\)', 1), ''), nullif(regexp_extract(text, '(?:^|\D)((?:19|20)\d{{2}})[a-z]?(?:\D|$)', 1), ''))::int as year,
  nullif(regexp_extract(text, '^({R.SURNAME.replace("'", "''")})', 1), '') as first_author,
  array_to_string(regexp_extract_all(substr(text, 1, 300), '({R.SURNAME.replace("'", "''")})(?:,?\s+[A-Z]\.|\s+et\s+al)', 1)[1:5], ';') as co_authors from t""")
-def g2_g3_parse_references(t):
+def g2_g3_f8_w2_parse_references(t):
     r = R.parse_references(t("documents").select("doc_id", F.expr(_LIST).alias("md")), "doc_id", "md")
     return r.withColumn("co_authors", F.array_join("co_authors", ";"))
 
