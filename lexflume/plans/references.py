@@ -11,7 +11,7 @@ from lexflume.plans.registry import query
 def _ref(k: int) -> str:
     mark = f"case doc_id % 4 when 0 then '- ' when 1 then '{k}. ' when 2 then '' else '[{k}] ' end"
     sur = f"chr(cast(65 + doc_id * {k} % 26 as int)) || 'orton'"
-    return f"{mark} || {sur} || ', J., Brown, K. (' || (1990 + doc_id * {k} % 30) || '). ' || trim(translate(substr(text, {k * 10}, 40), chr(10) || '[]*|', '     ')) || '. Journal {k}' || case (doc_id + {k}) % 3 when 0 then ', https://doi.org/10.1234/ab' || doc_id else '' end"
+    return f"{mark} || {sur} || ', J., Brown, K. (' || (1990 + doc_id * {k} % 30) || '). ' || trim(translate(substr(text, cast({k - 1} * ceil(length(text) / 6.0) + 1 as int), cast(ceil(length(text) / 6.0) as int)), chr(10) || '[]*|', '     ')) || '. Journal {k}' || case (doc_id + {k}) % 3 when 0 then ', https://doi.org/10.1234/ab' || doc_id else '' end"
 
 
 _LIST = "'# References' || chr(10) || chr(10) || " + " || case doc_id % 4 when 2 then chr(10) || chr(10) else chr(10) end || ".join(_ref(k) for k in range(1, 7))
