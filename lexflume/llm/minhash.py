@@ -1,11 +1,14 @@
 """MinHash near-dedup by improved consistent weighted sampling over TF-IDF shingles.
 
 Words are lower-cased and stripped of marks at their ends; a shingle is five words in a row (a shorter text is one
-shingle). A shingle's weight in a document is its count there times its inverse document frequency, ln(N / df), held at
-the value that df = FLOOR * N has and scaled to it: only what stands in a large part of all documents weighs less.
-Documents with the same words are one text. Samples are drawn by improved consistent weighted sampling (Ioffe, 2010):
-two texts share one with the probability of their weighted Jaccard similarity. Texts that share all samples of a band
-are candidates; each is held against its bucket's hub, by the signatures first and then exactly. Where a bucket's texts are then
+shingle). Documents with the same words are one text. A shingle's weight in a text is its count there times its inverse
+document frequency, 1 + ln((1 + N) / (1 + df)), relative to that of a shingle of one text; N and df count different
+texts, so exact copies don't make a text's shingles light. Texts are coded in chunks; a chunk asks shards, ranges of
+hashes, for the frequencies of its shingles, which are exact but for shingles whose hashes of BITS bits are equal. Samples are drawn from
+the weights by improved consistent weighted sampling (Ioffe, 2010): two texts share one with the probability of their weighted Jaccard
+similarity. Texts that share all samples of a band are candidates; each is held against its bucket's hub, by the
+signatures first and then exactly, by the counts of shingles alone: near copies share just what is frequent, and the
+more of them there are the less it weighs, so weights would take large groups apart. Where a bucket's texts are then
 in several components, blocks of it meet in tasks that compare what is still apart, and return links only: no pair is a
 row unless it is a hub's or a link. Verified links form classes.
 """
@@ -13,7 +16,6 @@ row unless it is a hub's or a link. Verified links form classes.
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,19 +24,22 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexflume.llm.common import connected_components, kept, mix64, table
+from lexflume.llm.common import connected_components, freed, kept, mix64, table
+from lexflume.llm.lm_score import _u, _uk, _z, _zk
 
 WORDS, SIMILAR = 5, 0.8
-BANDS, ROWS = 12, 4
-FLOOR = 0.25
-#: Shared samples, of BANDS * ROWS, under which a pair isn't read: a pair at SIMILAR has fewer once in 100,000 times.
-SHARED = 26
+BANDS, ROWS = 16, 3
+#: Shared samples, of BANDS * ROWS, under which a pair isn't read: one whose weights are 0.6 alike, as those of a pair at
+#: SIMILAR in a group of thousands of near copies are, has fewer once in 10,000 times.
+SHARED = 16
+#: Bits of a shingle's hash in chunks and shards.
+BITS = 48
+#: Bytes and texts of a chunk.
+CHUNK_BYTES, CHUNK_DOCS = 4_000_000, 4096
 #: Candidates of a hub that are verified in one run of rows.
 RUN = 512
 #: Texts of a bucket that are compared in one task, with as many others of it.
 BLOCK = 512
-#: Documents over which frequent shingles are looked for at once.
-GROUP = 1024
 _PRIMES = np.array([mix64(np.array([i + 1], np.uint64))[0] | np.uint64(1) for i in range(WORDS)], np.uint64)
 
 
@@ -142,14 +147,6 @@ def signature(s: np.ndarray, weight: np.ndarray, samples: int = BANDS * ROWS) ->
     return name
 
 
-def weighted(s: np.ndarray, count: np.ndarray, idf: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    w = count.astype(float)
-    if len(idf[0]):
-        at = np.minimum(np.searchsorted(idf[0], s), len(idf[0]) - 1)
-        w *= np.where(idf[0][at] == s, idf[1][at], 1.0)
-    return w
-
-
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard of two sets with sorted elements: the sum of least weights over the sum of greatest."""
     if len(a[0]) > len(b[0]):
@@ -161,92 +158,133 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return least / total if total else 0.0
 
 
-def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in at least FLOOR of the documents (and two), with their relative idf under 1.
-
-    What is that frequent among all documents is so in at least one group of them, so groups name candidates, and a
-    second pass counts those. There are at most 1 / FLOOR times a document's mean number of shingles, whatever the
-    corpus, so they may be sent everywhere.
-    """
-    least = lambda n: max(1, math.ceil(FLOOR * n))
-
-    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, group, total = Words(), [], 0
+CODED = "chunk long, ids binary, f1 binary, f2 binary, lens binary, keys binary, counts binary"
+REQUEST = "chunk long, part int, keys binary, n binary"
+ANSWER = "chunk long, part int, n binary"
+SIGNED = "doc_id long, total double, sig binary, bands array<long>"
 
-        def flush():
-            s, n = np.unique(np.concatenate(group), return_counts=True)
-            return pd.DataFrame({"s": s[n >= least(len(group))].view(np.int64), "n": np.int64(0)})
 
-        for b in batches:
-            for text in b["text"]:
-                total += 1
-                group.append(shingles(words(text, cache))[0])
-                if len(group) >= 2 * GROUP:  # what follows is a group of its own, or joins the last
-                    last, group = group[GROUP:], group[:GROUP]
-                    yield flush()
-                    group = last
-        if group:
-            yield flush()
-        yield pd.DataFrame({"s": np.zeros(1, np.int64), "n": np.array([total], np.int64)})
-
-    found = kept(docs.select("text").mapInPandas(name, "s long, n long"))
-    n = found.where("n > 0").agg(F.sum("n")).first()[0] or 0
-    # a candidate of a small partition may be rare elsewhere: those are sent back for counting only, bound and all
-    some = found.where("n = 0").select("s").distinct()
-    if n < 2 or not some.take(1):
-        return np.zeros(0, np.uint64), np.zeros(0)
-    counted = kept(_counts(docs, some).where(F.col("n") >= max(2, FLOOR * n)))
-    rows = counted.where(F.col("n") > FLOOR * n).collect()
-    s = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    w = np.array([max(1e-3, math.log(n / r[1]) / math.log(1 / FLOOR)) for r in rows])
-    order = np.argsort(s)
-    return s[order], w[order]
-
-
-def _counts(docs: DataFrame, some: DataFrame) -> DataFrame:
-    """(s, n): in how many documents each of some shingles stands."""
-
-    def every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = Words()
-        for b in batches:
-            # counts are combined per batch, and again by Spark before the shuffle
-            s, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *[shingles(words(t, cache))[0] for t in b["text"]]]), return_counts=True)
-            yield pd.DataFrame({"s": s.view(np.int64), "k": n})
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.select("text").mapInPandas(every, "s long, k long").join(some, "s", "left_semi").groupBy("s").agg(F.sum("k").alias("n"))
 
+def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Chunks of the texts with words: ids, two halves of the words' fingerprints, and sorted shingles with their counts."""
+    from pyspark import TaskContext
 
-def signed(docs: DataFrame, idf: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, f1, f2, total, sig, bands): a text's fingerprint, total weight, a byte per sample and band names.
+    part, made, cache = TaskContext.get().partitionId(), 0, Words()
+    ids, marks, keys, counts, size = [], [], [], [], 0
 
-    The latter four are null for texts without words.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(idf)
+    def flush():
+        f = np.array([divmod(x, 1 << 64) for x in marks], np.uint64)
+        lens = _z(np.fromiter(map(len, keys), np.int64, len(keys)))
+        return _frame([((part << 24) + made, _z(np.array(ids, np.int64)), _z(f[:, 0]), _z(f[:, 1]), lens, _zk(np.concatenate(keys)), _z(np.concatenate(counts)))], CODED)
 
+    for b in batches:
+        for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
+            h = words(text, cache)
+            if not len(h):
+                continue
+            s, n = shingles(h)
+            ids.append(doc_id)
+            marks.append(xxhash.xxh3_128_intdigest(h.tobytes()))
+            keys.append(s >> np.uint64(64 - BITS))
+            counts.append(n.astype(np.int32))
+            size += len(text)
+            if size >= CHUNK_BYTES or len(ids) >= CHUNK_DOCS:
+                yield flush()
+                made += 1
+                ids, marks, keys, counts, size = [], [], [], [], 0
+    if ids:
+        yield flush()
+
+
+def _named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for r in b.itertuples():
+            ids = _u(r.ids, np.int64)
+            yield pd.DataFrame({"doc_id": ids, "f1": _u(r.f1, np.int64), "f2": _u(r.f2, np.int64), "chunk": r.chunk, "place": np.arange(len(ids))})
+
+
+def _marked(rows: pd.DataFrame) -> pd.DataFrame:
+    """A bit for each place of a chunk: whether its text is one of the rows."""
+    own = np.zeros(CHUNK_DOCS, bool)
+    own[rows["place"]] = True
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "own": [np.packbits(own).tobytes()]})
+
+
+class _Chunk:
+    """The texts of a coded row that stand for themselves and their copies: ends of their lists, shingles and counts."""
+
+    def __init__(self, r):
+        lens = _u(r.lens, np.int64)
+        own = np.unpackbits(np.frombuffer(r.own, np.uint8), count=len(lens)).astype(bool)
+        mine = np.repeat(own, lens)
+        self.ids, self.ends = _u(r.ids, np.int64)[own], np.cumsum(lens[own])
+        self.keys, self.counts = _uk(r.keys)[mine], _u(r.counts, np.int32)[mine]
+
+
+def _ask(shards: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = Words()
         for b in batches:
-            out = []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                h = words(text, cache)
-                if not len(h):
-                    out.append((doc_id, None, None, None, None, None))
-                    continue
-                s, n = shingles(h)
-                w = weighted(s, n, sent.value)
-                f = xxhash.xxh3_128_intdigest(h.tobytes())
-                name = signature(s, w)
-                band = mix64(name.reshape(BANDS, ROWS) * _PRIMES[:ROWS]).sum(axis=1, dtype=np.uint64)
-                band = mix64(band + np.arange(BANDS, dtype=np.uint64))
-                out.append((doc_id, (f >> 64) - (1 << 63), (f & ((1 << 64) - 1)) - (1 << 63), float(w.sum()), (name & np.uint64(255)).astype(np.uint8).tobytes(), band.view(np.int64)))
-            yield pd.DataFrame(out, columns=["doc_id", "f1", "f2", "total", "sig", "bands"]).astype({"f1": "Int64", "f2": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, f1 long, f2 long, total double, sig binary, bands array<long>")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, idf: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+            for r in b.itertuples():
+                keys, n = np.unique(_Chunk(r).keys, return_counts=True)
+                cut = np.searchsorted(keys * np.uint64(shards) >> np.uint64(BITS), np.arange(shards + 1))
+                yield _frame([(r.chunk, s, _zk(keys[lo:hi]), _z(n[lo:hi])) for s, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if lo < hi], REQUEST)
+
+    return run
+
+
+def _answer(rows: pd.DataFrame) -> pd.DataFrame:
+    """In how many texts each of the shingles stands that chunks ask one shard for."""
+    lists = [_uk(x) for x in rows["keys"]]
+    _, of = np.unique(np.concatenate(lists), return_inverse=True)
+    total = np.bincount(of, np.concatenate([_u(x, np.int64) for x in rows["n"]])).astype(np.int64)[of]
+    ends = np.cumsum([len(x) for x in lists])[:-1]
+    return _frame([(c, p, _z(x)) for c, p, x in zip(rows["chunk"], rows["part"], np.split(total, ends), strict=True)], ANSWER)
+
+
+def idf(df: np.ndarray, n: int) -> np.ndarray:
+    """The inverse document frequency among n texts, relative to that of a shingle of one text, for which it is 1."""
+    return (1.0 + np.log((1.0 + n) / (1.0 + df))) / (1.0 + np.log((1.0 + n) / 2.0))
+
+
+def _sign(whole: int):
+    def run(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return _frame([], SIGNED)
+        x = _Chunk(next(rows.itertuples()))
+        _, of = np.unique(x.keys, return_inverse=True)
+        weight = x.counts * idf(np.concatenate([_u(a, np.int64) for a in replies.sort_values("part")["n"]]), whole)[of]
+        seeds, out = mix64(x.keys), []
+        for doc_id, lo, hi in zip(x.ids, np.append(0, x.ends[:-1]), x.ends, strict=True):
+            name = signature(seeds[lo:hi], weight[lo:hi])
+            band = mix64(name.reshape(BANDS, ROWS) * _PRIMES[:ROWS]).sum(axis=1, dtype=np.uint64)
+            band = mix64(band + np.arange(BANDS, dtype=np.uint64))
+            out.append((doc_id, float(x.counts[lo:hi].sum()), (name & np.uint64(255)).astype(np.uint8).tobytes(), band.view(np.int64)))
+        return _frame(out, SIGNED)
+
+    return run
+
+
+def signed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, rep) of each document with words, and (doc_id, total, sig, bands) of each rep: the least id of those
+    with the same words, its number of shingles, a byte per sample and band names."""
+    d = docs.select("doc_id", "text")
+    shards = max(8, d._jdf.queryExecution().toRdd().getNumPartitions())  # in proportion to the input
+    coded = kept(d.mapInPandas(_encode, CODED))
+    named = kept(coded.mapInPandas(_named, "doc_id long, f1 long, f2 long, chunk long, place int"))
+    reps = kept(named.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "chunk", "place")).alias("r")).select("f1", "f2", "r.*"))
+    member = kept(named.select("doc_id", "f1", "f2").join(reps.select("f1", "f2", F.col("doc_id").alias("rep")), ["f1", "f2"]).select("doc_id", "rep").distinct())
+    # sent everywhere, a bit a document, so that chunks stay where they are
+    own = coded.join(F.broadcast(kept(reps.groupBy("chunk").applyInPandas(_marked, "chunk long, own binary"))), "chunk")
+    counts = kept(own.mapInPandas(_ask(shards), REQUEST).groupBy("part").applyInPandas(_answer, ANSWER))
+    freed(d.sparkSession)
+    return member, kept(own.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(_sign(reps.count()), SIGNED))
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of ids whose texts are similar. A hub a is sent once per RUN of its candidates, not per pair."""
-    sent = docs.sparkSession.sparkContext.broadcast(idf)
     ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_id")
     texts = kept(docs.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_id")).select("doc_id", "text").dropDuplicates(["doc_id"]))
     runs = pairs.groupBy("a").agg(F.expr(f"cast(count(1) div {RUN} + 1 as int)").alias("_runs"))
@@ -261,7 +299,7 @@ def verified(pairs: DataFrame, docs: DataFrame, idf: tuple[np.ndarray, np.ndarra
             out = []
             for a, b, text in zip(batch["a"], batch["b"], batch["text"], strict=True):
                 s, n = shingles(words(text, cache))
-                x = (s, weighted(s, n, sent.value))
+                x = (s, n.astype(float))
                 if b is None or b != b or b is pd.NA:
                     hub, own = a, x
                 elif hub == a and similarity(own, x) >= SIMILAR:
@@ -272,7 +310,7 @@ def verified(pairs: DataFrame, docs: DataFrame, idf: tuple[np.ndarray, np.ndarra
 
 
 def _likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """The pairs whose weights and signatures let them be similar."""
+    """The pairs whose sizes and signatures let them be similar."""
     left, right = (sigs.select(F.col("doc_id").alias(c), F.col("sig").alias(f"s{c}"), F.col("total").alias(f"t{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b").where(F.least("ta", "tb") >= F.greatest("ta", "tb") * (SIMILAR - 1e-9)).select("a", "b", "sa", "sb")
 
@@ -286,14 +324,13 @@ def _likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return both.mapInPandas(run, "a long, b long")
 
 
-def across(rest: DataFrame, own: DataFrame, docs: DataFrame, idf: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def across(rest: DataFrame, own: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) between texts of different components c that share a bucket; rest is (doc_id, band, value, c, n).
 
     A bucket of n texts is cut into blocks of about BLOCK; each two blocks, and each block with itself, meet in one place.
     There a pair is read in the first of the bands that it shares, if its signatures let it be similar and its
     components haven't been linked there before, so all components end as if every pair had been read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(idf)
     ids = rest.select(F.col("doc_id").alias("_id")).distinct()
     texts = docs.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_id")).select("doc_id", "text").dropDuplicates(["doc_id"])
     texts = kept(texts.join(own.select("doc_id", "total", "sig", "bands"), "doc_id"))
@@ -314,7 +351,7 @@ def across(rest: DataFrame, own: DataFrame, docs: DataFrame, idf: tuple[np.ndarr
         def of(i: int):
             if i not in sets:
                 s, n = shingles(words(g["text"].iloc[i], cache))
-                sets[i] = (s, weighted(s, n, sent.value))
+                sets[i] = (s, n.astype(float))
             return sets[i]
 
         for i in range(len(g) - 1):
@@ -356,28 +393,27 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     some = docs.where("doc_id is not null")
-    idf = frequent(some)
-    sigs = kept(signed(some, idf))
-    named = sigs.where("f1 is not null")
     # documents with the same words: the least id stands for them
-    reps = named.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    member = kept(named.select("doc_id", "f1", "f2").join(reps, ["f1", "f2"]).select("doc_id", "rep").distinct())
-    own = named.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    member, sigs = signed(some)
+    freed(docs.sparkSession)
+    own = sigs.dropDuplicates(["doc_id"])
     banded = own.select("doc_id", F.posexplode("bands").alias("band", "value"))
     full = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("h1"), F.min_by("doc_id", F.xxhash64("doc_id", "band")).alias("h2")).where("n > 1")
     buckets = kept(banded.join(full, ["band", "value"]).select("doc_id", "band", "value", "h1", "h2"))
     hub = F.when(F.col("band") % 3 == 0, F.col("h2")).otherwise(F.col("h1"))
     pairs = buckets.select(F.least(hub, F.col("doc_id")).alias("a"), F.greatest(hub, F.col("doc_id")).alias("b"), hub.alias("hub")).where("a <> b").select(F.col("hub").alias("a"), F.expr("if(a = hub, b, a)").alias("b")).distinct()
     narrow = own.select("doc_id", "sig", "total")
-    linked = kept(verified(kept(_likely(pairs, narrow)), some, idf))
+    linked = kept(verified(kept(_likely(pairs, narrow)), some))
+    freed(docs.sparkSession)
     comp = connected_components(linked)
     # buckets whose texts are in several components
     marked = buckets.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "band", "value", F.coalesce("component", "doc_id").alias("c"))
     mixed = marked.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi and n > 2").select("band", "value", "n")
     rest = kept(marked.join(mixed, ["band", "value"]))
     if rest.take(1):
-        linked = kept(linked.union(across(rest, own, some, idf)))
-        comp = connected_components(linked)
+        more = kept(across(rest, own, some))
+        freed(docs.sparkSession)
+        comp = connected_components(comp.where("node <> component").toDF("a", "b").union(more))  # what hangs together already is so by one link
     of = member.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("c")).groupBy("doc_id").agg(F.min("c").alias("c"))
     return docs.select("doc_id").join(of, "doc_id", "left").select("doc_id", F.coalesce("c", "doc_id").alias("class_id"))
 
@@ -389,5 +425,6 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without those whose class has an earlier one; rows with null ids stay."""
+    freed(spark)  # what earlier stages have left
     gone = classes(docs).where("class_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long") == F.col("_id"), "left_anti")

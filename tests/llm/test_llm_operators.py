@@ -276,6 +276,28 @@ def test_near_duplicates_match_brute_force(spark):
     assert [got[i] for i in range(60)] == low
 
 
+def test_samples_are_drawn_from_tf_idf_weights(spark):
+    random.seed(8)
+    shared = [" ".join(f"s{k}w{i}" for i in range(30)) for k in range(3)]  # in 2, 4 and 8 of 40 texts
+    texts = [" ".join([f"own{i}w{j}" for j in range(40)] + [shared[k] for k in range(3) if i < 2 << k]) for i in range(40)]
+    texts += [texts[0]] * 30 + [texts[1].upper()]  # copies don't count
+    member, sigs = minhash.signed(docs(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]))
+    cache = minhash.Words()
+    sets = [minhash.shingles(minhash.words(t, cache)) for t in texts[:40]]
+    df = collections.Counter(x for s, _ in sets for x in s.tolist())
+    assert {1, 2, 4, 8} <= set(df.values()) and max(df.values()) < 40 / 4
+    got = {r["doc_id"]: r for r in sigs.collect()}
+    assert sorted(got) == list(range(40)) and {r["doc_id"]: r["rep"] for r in member.collect()} == {i: i if i < 40 else 1 if i == 70 else 0 for i in range(71)}
+    differ = 0
+    for i, (s, n) in enumerate(sets):
+        w = n * np.array([(1 + math.log(41 / (1 + df[x]))) / (1 + math.log(41 / 2)) for x in s.tolist()])
+        seeds = minhash.mix64(s >> np.uint64(64 - minhash.BITS))
+        name, plain = minhash.signature(seeds, w), minhash.signature(seeds, n.astype(float))
+        assert got[i]["total"] == n.sum() and bytes(got[i]["sig"]) == (name & np.uint64(255)).astype(np.uint8).tobytes()
+        differ += (name != plain).any()
+    assert differ >= 8  # the weights decide samples though nothing stands in a quarter of the texts
+
+
 def test_components(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 200), (200, 300), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(e).collect()}
