@@ -89,12 +89,12 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     e = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = None
     for _ in range(rounds):
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.inline(F.expr("array(struct(u, v), struct(v as u, u as v))")))  # read once, not as a union
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         near = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = kept(small.union(near.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        small = large.join(near, "u").select(F.inline(F.expr("array(struct(u, m as v), struct(v as u, m as v))"))).where("u <> v")
+        e = kept(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             break

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexflume.llm.common import SPACE, kept, table
+from lexflume.llm.common import SPACE, freed, kept, table
 
 #: Weights by rank of the source, repeating, and how often a source may be repeated.
 WEIGHTS, REPEATS = (1, 2, 3), 3
@@ -115,6 +115,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Repeated rows are numbered on both sides and paired one to one.
     """
+    freed(spark)  # what earlier stages have left
     cols, k = docs.columns, ["_k", "_m"]
     keyed = sized(docs.withColumns({"_k": F.xxhash64(*cols), "_m": F.hash(*cols)}))
     plan = placed(keyed.select(*k, "source", "size"), tuple(k))

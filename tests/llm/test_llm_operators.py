@@ -571,3 +571,11 @@ def test_stages_with_empty_tables_nulls_and_clashing_columns(spark, name):
         assert set(ids) == {1, 2, 3, 4, 5, 6, None} and all(r["length"] > 0 for r in got)
     else:  # nothing is taken of what has no words
         assert not {3, 4} & set(ids)
+
+
+def test_stages_let_go_of_what_earlier_ones_left(spark, monkeypatch):
+    d, went = docs(spark, [(i, f"words of text {i} " * 4, "en", "s") for i in range(3)]), []
+    for m in (line_dedup, minhash, mixing):
+        monkeypatch.setattr(m, "freed", lambda s, m=m: went.append(m))
+        m.stage(spark, d, "")
+        assert went[-1:] == [m]
