@@ -579,3 +579,11 @@ def test_stages_let_go_of_what_earlier_ones_left(spark, monkeypatch):
         monkeypatch.setattr(m, "freed", lambda s, m=m: went.append(m))
         m.stage(spark, d, "")
         assert went[-1:] == [m]
+
+
+def test_pipeline_stage_signs_by_weights(spark, monkeypatch):
+    sign, texts = minhash._sign, []
+    monkeypatch.setattr(minhash, "_sign", lambda n: texts.append(n) or sign(n))
+    rows = [(i, f"words of text {min(i, 5)} " * 4, "en", "s") for i in range(8)]
+    assert sorted(r["doc_id"] for r in minhash.stage(spark, docs(spark, rows), "").collect()) == list(range(6))
+    assert texts == [6]  # the documents whose frequencies make the weights: copies count once
