@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexflume.functions.cleaning import BANNER, code_block, is_echo, is_good_title
-from lexflume.functions.text import expand_ligatures, journal_like, normalise_math_glyphs
+from lexflume.functions.text import expand_ligatures, journal_like, let, normalise_math_glyphs
 
 # Diacritics that stand alone and the combining marks they stand for; vowels that bear them.
 DIACRITICS = {"¨": "̈", "˘": "̆", "˙": "̇", "˜": "̃", "´": "́", "ˆ": "̂"}
@@ -107,20 +107,27 @@ def is_math_font(c: Column) -> Column:
 
 def keywords(raw: Column, most: int = 80) -> Column:
     """A list of keywords, parted by the strongest separator that it holds; without case, each once, the first stays."""
-    c = F.regexp_replace(raw, "(?i)^(?:keywords?|key\\s*words?)\\s*[:. \\s]*", "")
+    return let(expand_ligatures(F.regexp_replace(raw, "(?i)^(?:keywords?|key\\s*words?)\\s*[:. \\s]*", "")), lambda c: _distinct(_keywords(c), most))
+
+
+def _keywords(c: Column) -> Column:
     has = lambda p: c.rlike(p)
     flat = lambda x: F.regexp_replace(x, r"\s*\n\s*", " ")
-    dots, middle, bullet, semi, comma = has(r"\S\s+\.\s+\S"), has("·"), has(r"•| \| "), has(";"), has(",")
+    tidy = lambda parts: F.filter(F.transform(parts, lambda p: F.btrim(F.trim(F.regexp_replace(p, "[  \\s]+", " ")), F.lit(",;."))), lambda p: p != "")
     lines = F.filter(F.split(c, "\n"), lambda x: F.length(_strip(x)) > 0)
-    parts = F.when(dots, F.split(flat(F.regexp_replace(c, r"\s+\.\s+", "; ")), ";")).when(middle, F.split(flat(c), "·")).when(bullet, F.split(c, r"[•|]|\s*\n\s*")).when(semi, F.split(c, "[;\n]"))
-    parts = parts.when(comma & F.forall(lines, lambda x: F.contains(x, F.lit(","))), F.split(flat(c), ",")).when(comma, F.split(c, "[,\n]")).otherwise(F.split(c, "\n"))
-    tidy = F.filter(F.transform(parts, lambda p: expand_ligatures(F.regexp_replace(_strip(F.regexp_replace(p, "[  \\s]+", " ")), "^[,;.]+|[,;.]+$", ""))), lambda p: p != "")
+    parts = F.when(has(r"\S\s+\.\s+\S"), F.split(flat(F.regexp_replace(c, r"\s+\.\s+", "; ")), ";")).when(has("·"), F.split(flat(c), "·")).when(has(r"•| \| "), F.split(c, r"[•|]|\s*\n\s*")).when(has(";"), F.split(c, "[;\n]"))
+    parts = parts.when(has(",") & F.forall(lines, lambda x: F.contains(x, F.lit(","))), F.split(flat(c), ",")).when(has(","), F.split(c, "[,\n]"))
     # only lines part them: a line that begins in lower case goes on with the one before
-    goes_on = lambda p: F.substring(p, 1, 1).rlike(r"\p{Ll}")
-    none = F.array().cast("array<string>")
-    joined = F.aggregate(tidy, none, lambda out, p: F.when((F.size(out) > 0) & goes_on(p), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.concat(F.element_at(out, -1), F.lit(" "), p)))).otherwise(F.concat(out, F.array(p))))
-    merged = F.filter(F.when(dots | middle | bullet | semi | comma, tidy).otherwise(joined), lambda p: F.length(p) <= most)
-    return F.aggregate(merged, none, lambda out, p: F.when(F.exists(out, lambda x: F.lower(x) == F.lower(p)), out).otherwise(F.concat(out, F.array(p))))
+    joined = F.split(F.regexp_replace(F.array_join(tidy(F.split(c, "\n")), "\n"), r"\n(?=\p{Ll})", " "), "\n")
+    return F.coalesce(tidy(parts), F.filter(joined, lambda p: p != ""))
+
+
+def _distinct(words: Column, most: int) -> Column:
+    """Words of at most that many characters, without case the first of equal ones, in their order; by two sorts, so time
+    grows with the number of words and not with its square."""
+    keyed = F.transform(F.filter(words, lambda p: F.length(p) <= most), lambda p, i: F.struct(F.lower(p).alias("k"), i.alias("i"), p.alias("p")))
+    firsts = lambda s: F.filter(s, lambda x, j: F.coalesce(x["k"] != F.get(s, j - 1)["k"], F.lit(True)))
+    return let(F.sort_array(keyed), lambda s: F.transform(F.sort_array(F.transform(firsts(s), lambda x: F.struct(x["i"].alias("i"), x["p"].alias("p")))), lambda x: x["p"]))
 
 
 def short_number(v: Column) -> Column:

@@ -12,6 +12,11 @@ DROPPED = "​"
 LIGATURES = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"))
 
 
+def let(c: Column, f) -> Column:
+    """f of c, which is made once however often f reads it, also within lambdas."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
