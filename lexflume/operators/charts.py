@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,30 +29,99 @@ def axis_bands(ticks: DataFrame) -> DataFrame:
     return b.where((F.col("n") >= 2) & (F.col("r2") >= 0.95) & rises)
 
 
+def _fit_band(x: np.ndarray, y: np.ndarray, good: float) -> tuple | None:
+    """(slope, intercept, r2, n) of ticks in order, the one that fits worst dropped until the rest fits or two are left."""
+    while len(x) >= 2 and len(np.unique(x)) >= 2:
+        slope, intercept = np.polyfit(x, y, 1)
+        off = np.abs(y - slope * x - intercept)
+        r2 = 1 - (off**2).sum() / (((y - y.mean()) ** 2).sum() or 1e-9)
+        if r2 >= good or len(x) == 2:
+            return slope, intercept, r2, len(x)
+        keep = np.arange(len(x)) != off.argmax()
+        x, y = x[keep], y[keep]
+    return None
+
+
+def _fit_bands(x: np.ndarray, y: np.ndarray, size: np.ndarray, good: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of bands, of so many ticks each in order, the fits that _fit_band gives, as rows (slope, intercept, r2, n), n 0 for
+    none; all bands at once, each round dropping a tick of those that don't fit yet. Second, the bands where rounding
+    decides: ticks that fit equally badly, fits near a limit, flat lines."""
+    out, close = np.zeros((len(size), 4)), np.zeros(len(size), bool)
+    ids = np.arange(len(size))
+    while len(ids):
+        enough = size >= 2
+        x, y = x[np.repeat(enough, size)], y[np.repeat(enough, size)]
+        ids, size = ids[enough], size[enough]
+        if not len(ids):
+            break
+        at = np.concatenate(([0], np.cumsum(size)[:-1]))
+        total = lambda v: np.add.reduceat(v, at)  # noqa: B023, E731
+        each = lambda v: np.repeat(v, size)  # noqa: B023, E731
+        mx, my = total(x) / size, total(y) / size
+        dx, dy = x - each(mx), y - each(my)
+        some = np.minimum.reduceat(x, at) != np.maximum.reduceat(x, at)
+        slope = np.divide(total(dx * dy), total(dx * dx), out=np.zeros(len(size)), where=some)
+        off = np.abs(dy - each(slope) * dx)
+        syy, high = total(dy * dy), np.maximum.reduceat(np.abs(y), at)
+        flat = syy <= 1e-18 * size * high * high
+        r2 = 1 - total(off * off) / np.where(syy == 0, 1e-9, syy)
+        worst = np.maximum.reduceat(off, at)
+        done = some & ((r2 >= good) | (size == 2))
+        near = some & ((np.abs(r2 - good) < 1e-9) & (size > 2) | flat)
+        # as bad as the worst, but for rounding
+        as_bad = off >= each(worst) - 1e-7 * each(np.maximum(worst, 1e-9 * high))
+        near |= some & ~done & (total(as_bad.astype(np.int64)) > 1)
+        close[ids[near]] = True
+        over = done & ~near
+        out[ids[over]] = np.column_stack((slope, my - slope * mx, r2, size))[over]
+        on = some & ~done & ~near
+        keep = each(on) & ~as_bad
+        x, y, ids, size = x[keep], y[keep], ids[on], size[on] - 1
+    return out, close
+
+
 def fit_axes(ticks: DataFrame, good: float = 0.99, enough: float = 0.95) -> DataFrame:
     """(chart, axis, slope, intercept, r2, n): the best band's line for each axis, after ticks that fit worst are dropped
-    one by one until the rest fits. The ticks of an axis are few, so each axis is one group."""
-
-    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        best = None
-        for _, b in g.groupby("band", sort=True):
-            b = b.sort_values(["pixel", "value"])
-            x, y = b["pixel"].to_numpy(float), b["value"].to_numpy(float)
-            while len(x) >= 2 and len(np.unique(x)) >= 2:
-                slope, intercept = np.polyfit(x, y, 1)
-                off = np.abs(y - slope * x - intercept)
-                r2 = 1 - (off**2).sum() / (((y - y.mean()) ** 2).sum() or 1e-9)
-                if r2 >= good or len(x) == 2:
-                    if r2 >= enough and (slope > 0) == (key[1] == "x") and slope != 0 and (best is None or r2 * len(x) > best[0]):
-                        best = (r2 * len(x), slope, intercept, r2, len(x))
-                    break
-                keep = np.arange(len(x)) != off.argmax()
-                x, y = x[keep], y[keep]
-        rows = [] if best is None else [(*key, *best[1:])]
-        return pd.DataFrame(rows, columns=["chart", "axis", "slope", "intercept", "r2", "n"])
-
+    one by one until the rest fits. The ticks of an axis are few and gathered into its row; batches of rows are fitted at
+    once. Ticks without a pixel, value or band are left out."""
     kinds = {f.name: f.dataType.simpleString() for f in ticks.schema}
-    return ticks.groupBy("chart", "axis").applyInPandas(fit, f"chart {kinds['chart']}, axis string, slope double, intercept double, r2 double, n long")
+
+    def fit(batches):
+        for batch in batches:
+            lists, axis = batch.column(2), np.array(batch.column(1).to_pylist(), dtype=object)
+            n, (band, x, y) = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().flatten()
+            band, x, y = (v.to_numpy(zero_copy_only=False) for v in (band, x, y))
+            if not len(x):
+                continue
+            row = np.repeat(np.arange(len(n)), n)
+            first = np.concatenate(([True], (row[1:] != row[:-1]) | (band[1:] != band[:-1])))
+            start = np.flatnonzero(first)
+            size, row = np.diff(np.append(start, len(x))), row[first]
+            fits, close = _fit_bands(x, y, size, good)
+            for _ in range(2):
+                for k in np.flatnonzero(close):
+                    fits[k] = _fit_band(x[start[k] : start[k] + size[k]], y[start[k] : start[k] + size[k]], good) or 0
+                fine = (fits[:, 3] > 0) & (fits[:, 2] >= enough) & ((fits[:, 0] > 0) == (axis[row] == "x")) & (fits[:, 0] != 0)
+                score = np.where(fine, fits[:, 2] * fits[:, 3], -1.0)
+                order = np.lexsort((np.arange(len(row)), -score, row))
+                lead = np.concatenate(([True], row[order][1:] != row[order][:-1]))
+                # bands that are as good but for rounding, or near the limit, are fitted one by one
+                tied = ~lead[1:] & (score[order][1:] > 0) & (score[order][:-1] - score[order][1:] < 1e-9)
+                again = np.abs(fits[:, 2] - enough) < 1e-9
+                again[order[1:][tied]] = again[order[:-1][tied]] = True
+                again &= ~close
+                if not again.any():
+                    break
+                close = again
+            best = order[lead]
+            best = best[score[best] > 0]
+            cols = [batch.column(0).take(pa.array(row[best])), batch.column(1).take(pa.array(row[best])), *[pa.array(fits[best, i]) for i in range(3)], pa.array(fits[best, 3].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, names=["chart", "axis", "slope", "intercept", "r2", "n"])
+
+    tick = F.struct("band", F.col("pixel").cast("double").alias("pixel"), F.col("value").cast("double").alias("value"))
+    some = ticks.where(F.col("band").isNotNull() & F.col("pixel").isNotNull() & F.col("value").isNotNull())
+    g = some.groupBy("chart", "axis").agg(F.sort_array(F.collect_list(tick)).alias("ticks"))
+    return g.mapInArrow(fit, f"chart {kinds['chart']}, axis string, slope double, intercept double, r2 double, n long")
 
 
 def bar_boxes(boxes: DataFrame, width: float, height: float) -> DataFrame:
