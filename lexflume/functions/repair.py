@@ -130,16 +130,39 @@ def _distinct(words: Column, most: int) -> Column:
     return let(F.sort_array(keyed), lambda s: F.transform(F.sort_array(F.transform(firsts(s), lambda x: F.struct(x["i"].alias("i"), x["p"].alias("p")))), lambda x: x["p"]))
 
 
+def _digits(a: Column, magnitude: Column) -> Column:
+    """The first three digits of a, which is positive and has that power of ten, as a number; what decides is the exact
+    value of the double. Powers of ten up to 22 are exact, and so is a product with the error of its rounding."""
+    power = F.concat(F.lit("1e"), F.abs(2 - magnitude).cast("string")).cast("double")
+
+    def small(x: Column, u: Column) -> Column:  # x * u is p + e
+        half = lambda v: let(v * 134217729.0, lambda c: c - (c - v))
+        error = lambda p: let(half(x), lambda h: let(half(u), lambda k: ((h * k - p) + h * (u - k) + (x - h) * k) + (x - h) * (u - k)))
+        beyond = lambda p: let(error(p), lambda e: F.when(e > 0, F.floor(p) + 1.0).when(e < 0, F.floor(p).cast("double")).otherwise(F.rint(p)))
+        return let(x * u, lambda p: F.when(p - F.floor(p) == 0.5, beyond(p)).otherwise(F.rint(p)))
+
+    def large(x: Column, u: Column) -> Column:  # the middle between two neighbours is exact
+        return let(F.floor(x / u), lambda k: let((k + 0.5) * u, lambda m: F.when(x > m, k + 1.0).when(x < m, k.cast("double")).otherwise(F.rint(k + 0.5))))
+
+    return let(power, lambda u: F.when(magnitude <= 2, small(a, u)).otherwise(large(a, u)))
+
+
 def short_number(v: Column) -> Column:
     """A number as text: whole ones without a point, others with three digits; nothing for null."""
-    v = v.cast("double")
     plain = lambda x: F.regexp_replace(x.cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
-    magnitude = lambda x: F.floor(F.log10(F.abs(x)) + 1e-12)
-    unit = F.pow(F.lit(10.0), 2 - magnitude(v))
-    r = F.rint(v * unit) / unit
-    exp = magnitude(r)
-    sci = F.concat(plain(F.rint(r / F.pow(F.lit(10.0), exp) * 100) / 100), F.lit("e"), F.when(exp < 0, "-").otherwise("+"), F.lpad(F.abs(exp).cast("string"), 2, "0"))
-    return F.when(v.isNull(), "").when(F.abs(v - F.rint(v)) < 1e-9, F.rint(v).cast("long").cast("string")).when((exp < -4) | (exp >= 3), sci).otherwise(plain(r))
+    power = lambda n: F.concat(F.lit("1e"), n.cast("string")).cast("double")
+
+    def said(r: Column, m: Column) -> Column:
+        """r digits from the power of ten m down; 1,000 of them are a power more."""
+        exp = F.when(r >= 1000, m + 1).otherwise(m)
+        sci = F.concat(plain(F.when(r >= 1000, r / 1000).otherwise(r / 100)), F.lit("e"), F.when(exp < 0, "-").otherwise("+"), F.lpad(F.abs(exp).cast("string"), 2, "0"))
+        return F.when((exp < -4) | (exp >= 3), sci).otherwise(plain(F.when(m <= 2, r / power(2 - m)).otherwise(r * power(m - 2))))
+
+    def short(x: Column) -> Column:
+        digits = let(F.floor(F.log10(F.abs(x)) + 1e-12), lambda m: let(_digits(F.abs(x), m), lambda r: said(r, m)))
+        return F.when(x.isNull(), "").when(F.abs(x - F.rint(x)) < 1e-9, F.rint(x).cast("long").cast("string")).otherwise(F.concat(F.when(x < 0, "-").otherwise(""), digits))
+
+    return let(v.cast("double"), short)
 
 
 def sentence_at(c: Column, pos: Column) -> Column:
