@@ -52,9 +52,8 @@ x as (select *, first_value(run) over w fr, last_value(run) over w lr, first_val
 y as (select *, fr < lr and fk = lk and fa = 0 and lb = 90 m from x)
 select plot, key, case when m and run = fr then la - 90 else a end as a, b from y where not (m and run = lr) and b - case when m and run = fr then la - 90 else a end >= 4""")
 def w10_wedges(t):
-    s = t("customer").select(F.col("c_custkey").alias("plot"), F.explode(F.expr("sequence(0L, 89L)")).alias("angle"))
-    key = F.expr("case when (plot + (angle + 9) div 18) % 4 = 3 then null else 'k' || ((plot + case when angle < 27 or angle >= 80 then 0 else (angle + 9) div 18 end) % 4) end")
-    return L.wedges(s.withColumn("key", key), 90)
+    key = "case when (c_custkey + (angle + 9) div 18) % 4 = 3 then null else 'k' || ((c_custkey + case when angle < 27 or angle >= 80 then 0 else (angle + 9) div 18 end) % 4) end"
+    return L.wedges(t("customer").select(F.col("c_custkey").alias("plot"), F.expr(f"transform(sequence(0L, 89L), angle -> {key})").alias("keys")), 90)
 
 
 _SWATCHES = ("l_orderkey as plot", "l_linenumber as swatch", "l_partkey % 300 as cx", "l_suppkey % 60 as cy")
