@@ -53,15 +53,25 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def _where(c: Column, sign: str, f) -> Column:
+    """f of a text that holds the sign; others are not searched."""
+    return let(c, lambda x: F.when(F.contains(x, F.lit(sign)), f(x)).otherwise(x))
+
+
 def float_diacritics(c: Column) -> Column:
     """Diacritics that stand before their vowel, or after the word it is in, set on it; known words mended; others dropped."""
+    def put(x: Column, pairs: list[tuple[str, str]]) -> Column:
+        for a, b in pairs:
+            x = F.replace(x, F.lit(a), F.lit(b))
+        return x
+
     for d, mark in DIACRITICS.items():
-        for v in VOWELS:
-            c = F.replace(c, F.lit(d + v), F.lit(unicodedata.normalize("NFC", v + mark)))
+        c = _where(c, d, lambda x, d=d, mark=mark: put(x, [(d + v, unicodedata.normalize("NFC", v + mark)) for v in VOWELS]))
     for d in TRAILING:
-        c = F.regexp_replace(c, f"(?<![{_LETTER}])(?=[{_LETTER}]{{2}})([{_LETTER}]*[{VOWELS}])([{_LETTER}]*){d}(?![a-zA-Z])", f"$1{DIACRITICS[d]}$2")
-        for v in VOWELS:
-            c = F.replace(c, F.lit(v + DIACRITICS[d]), F.lit(unicodedata.normalize("NFC", v + DIACRITICS[d])))
+        # the look ahead reads a word once, so those that no mark follows are left at once
+        word = f"(?<![{_LETTER}])(?=[{_LETTER}]{{2}})(?=[{_LETTER}]*+{d}(?![a-zA-Z]))([{_LETTER}]*[{VOWELS}])([{_LETTER}]*){d}"
+        c = _where(c, d, lambda x, d=d, word=word: F.regexp_replace(x, word, f"$1{DIACRITICS[d]}$2"))
+        c = _where(c, DIACRITICS[d], lambda x, d=d: put(x, [(v + DIACRITICS[d], unicodedata.normalize("NFC", v + DIACRITICS[d])) for v in VOWELS]))
     c = F.regexp_replace(known_words(c), f" ?[{TRAILING}] ?(?![a-zA-Z])", "")
     return F.regexp_replace(c, r"([0-9]{4}[a-z]?) \)", "$1)")
 
@@ -69,7 +79,7 @@ def float_diacritics(c: Column) -> Column:
 def known_words(c: Column) -> Column:
     for bad, good in KNOWN.items():
         if bad != good:
-            c = F.regexp_replace(c, rf"(?U)\b{bad}\b", good)
+            c = _where(c, bad, lambda x, bad=bad, good=good: F.regexp_replace(x, rf"(?U)\b{bad}\b", good))
     return c
 
 
