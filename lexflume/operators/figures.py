@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexflume.functions.text import let
+
 # Words that tell what kind a figure is, kinds in the order in which they win ties.
 KEYWORDS = {
     "flow_diagram": ("workflow", "flowchart", "flow chart", "flow diagram", "pipeline", "process diagram", "process flow", "step", "scheme", "schema", "framework", "decision tree"),
@@ -71,19 +73,28 @@ def scale(x: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - low) / (high - low)))
 
 
-def matches(text: Column, kind: str) -> Column:
-    """The words of a kind that a lower-cased text holds."""
-    return F.filter(F.array(*[F.lit(k) for k in KEYWORDS[kind]]), lambda k: F.contains(text, k))
+def keyword_counts(text: Column) -> Column:
+    """How many words of each kind a lower-cased text holds, in the order of KEYWORDS; a word of two kinds is sought once."""
+    words = list(dict.fromkeys(w for ws in KEYWORDS.values() for w in ws))
+    held = F.array(*[F.contains(text, F.lit(w)).cast("int") for w in words])
+    count = lambda h, ws: sum((F.get(h, F.lit(words.index(w))) for w in ws[1:]), F.get(h, F.lit(words.index(ws[0]))))
+    return let(held, lambda h: F.array(*[count(h, ws) for ws in KEYWORDS.values()]))
 
 
-def keyword_score(text: Column, kind: str) -> Column:
-    return F.least(F.lit(1.0), F.size(matches(text, kind)) / 3.0) if kind in KEYWORDS else F.lit(0.0)
+def _reason(text: Column, i: Column) -> Column:
+    """The first three words of the i-th kind that a text holds, as a reason."""
+    words = F.get(F.array(*[F.array(*map(F.lit, ws)) for ws in KEYWORDS.values()]), i)
+    return F.concat(F.lit("keyword-match:"), F.array_join(F.slice(F.filter(words, lambda k: F.contains(text, k)), 1, 3), ","))
 
 
 def most_keywords(text: Column) -> Column:
     """Struct (n, i, kind, reason), n negative: the kind with most words, the earlier of equals."""
-    found = [F.struct((-F.size(matches(text, k))).alias("n"), F.lit(i).alias("i"), F.lit(k).alias("kind"), F.concat(F.lit("keyword-match:"), F.array_join(F.slice(matches(text, k), 1, 3), ",")).alias("reason")) for i, k in enumerate(KEYWORDS)]
-    return F.array_min(F.array(*found))
+
+    def best(t: Column, counts: Column) -> Column:
+        n = F.array_max(counts)
+        return let((F.array_position(counts, n) - 1).cast("int"), lambda i: F.struct((-n).alias("n"), i.alias("i"), F.get(F.array(*map(F.lit, KEYWORDS)), i).alias("kind"), _reason(t, i).alias("reason")))
+
+    return let(text, lambda t: let(keyword_counts(t), lambda c: best(t, c)))
 
 
 def classify(caption: Column, ocr: Column) -> Column:
@@ -91,11 +102,15 @@ def classify(caption: Column, ocr: Column) -> Column:
     some = lambda c: F.length(F.coalesce(c, F.lit(""))) > 0
     text = _strip(F.lower(F.when(some(caption), caption).when(some(ocr), ocr).otherwise("")))
     say = lambda kind, reason: F.struct(F.lit(kind).alias("kind"), F.lit(reason).alias("reason"))
-    out = F.when(text == "", say("unknown", "no-caption-no-ocr"))
-    for pattern, kind, reason in STRONG:
-        out = out.when(text.rlike(pattern), say(kind, reason))
-    best = most_keywords(text)
-    return out.when(best["n"] == 0, say("unknown", "no-keyword-match")).otherwise(F.struct(best["kind"].alias("kind"), best["reason"].alias("reason")))
+
+    def kind_of(t: Column) -> Column:
+        out = F.when(t == "", say("unknown", "no-caption-no-ocr"))
+        for pattern, kind, reason in STRONG:
+            out = out.when(t.rlike(pattern), say(kind, reason))
+        named = lambda b: F.when(b["n"] == 0, say("unknown", "no-keyword-match")).otherwise(F.struct(b["kind"].alias("kind"), b["reason"].alias("reason")))
+        return out.otherwise(let(most_keywords(t), named))
+
+    return let(text, kind_of)
 
 
 def decorative(w: Column, h: Column, f: dict[str, Column]) -> Column:
@@ -110,6 +125,10 @@ def specialists(caption: Column, ocr: Column, f: dict[str, Column]) -> Column:
     f has has, axes, bars, colours, circles, density, rects, aspect, text_share, math, gray and decor.
     """
     text = F.lower(F.concat_ws(" ", F.coalesce(caption, F.lit("")), F.coalesce(ocr, F.lit(""))))
+    return let(let(text, keyword_counts), lambda counts: _specialists(caption, ocr, f, counts))
+
+
+def _specialists(caption: Column, ocr: Column, f: dict[str, Column], counts: Column) -> Column:
     o = F.coalesce(ocr, F.lit(""))
     with_data = lambda c: F.when(f["has"], c).otherwise(0.0)
     less = lambda c, *r: with_data(1.0 - scale(c, *r))
@@ -139,7 +158,7 @@ def specialists(caption: Column, ocr: Column, f: dict[str, Column]) -> Column:
     }
     out = []
     for kind, terms in parts.items():
-        cap = keyword_score(text, kind)
+        cap = F.least(F.lit(1.0), F.get(counts, F.lit(list(KEYWORDS).index(kind))) / 3.0) if kind in KEYWORDS else F.lit(0.0)
         score = sum((F.lit(w) * (cap if x is None else x) for w, x in terms), F.lit(0.0))
         if kind == "decorative":  # a proper caption speaks against it
             score = score * F.when(F.size(seen) >= 4, 0.4).otherwise(1.0)
@@ -149,21 +168,28 @@ def specialists(caption: Column, ocr: Column, f: dict[str, Column]) -> Column:
 
 def mixture(scores: Column, decisive: float = 0.66) -> Column:
     """Struct (kind, confidence, margin) of the specialists' scores: a caption that is decisive comes first."""
-    ranked = F.array_sort(F.transform(scores, lambda x, i: F.struct((-x["score"]).alias("n"), i.alias("i"), x["kind"].alias("kind"))))
+    return let(scores, lambda s: _mixture(s, decisive))
+
+
+def _mixture(scores: Column, decisive: float) -> Column:
+    def of(ranked: Column, cap: Column) -> Column:
+        top = F.greatest(cap["score"], -cap["n"])
+        rest = F.filter(ranked, lambda x: x["kind"] != cap["kind"])
+        named = F.struct(cap["kind"].alias("kind"), top.alias("confidence"), thousandths(top + F.get(rest, F.lit(0))["n"]).alias("margin"))
+        one, two = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
+        seen = F.struct(one["kind"].alias("kind"), (-one["n"]).alias("confidence"), thousandths(two["n"] - one["n"]).alias("margin"))
+        return F.when(-cap["n"] >= decisive, named).otherwise(seen)
+
+    ranked = F.sort_array(F.transform(scores, lambda x, i: F.struct((-x["score"]).alias("n"), i.alias("i"), x["kind"].alias("kind"))))
     cap = F.array_min(F.transform(scores, lambda x, i: F.struct((-x["cap"]).alias("n"), i.alias("i"), x["kind"].alias("kind"), x["score"].alias("score"))))
-    top = F.greatest(cap["score"], -cap["n"])
-    rest = F.filter(ranked, lambda x: x["kind"] != cap["kind"])
-    named = F.struct(cap["kind"].alias("kind"), top.alias("confidence"), thousandths(top + F.get(rest, F.lit(0))["n"]).alias("margin"))
-    one, two = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
-    seen = F.struct(one["kind"].alias("kind"), (-one["n"]).alias("confidence"), thousandths(two["n"] - one["n"]).alias("margin"))
-    return F.when(-cap["n"] >= decisive, named).otherwise(seen)
+    return let(ranked, lambda r: let(cap, lambda c: of(r, c)))
 
 
 def hybrid(caption: Column, ocr: Column, scores: Column, least: int = 2) -> Column:
     """Struct (kind, confidence, margin): by words alone where some kind has two, otherwise by the mixture."""
     best = most_keywords(F.lower(F.concat_ws(" ", F.coalesce(caption, F.lit("")), F.coalesce(ocr, F.lit("")))))
-    score = F.least(F.lit(1.0), -best["n"] / 3.0)
-    return F.when(-best["n"] >= least, F.struct(best["kind"].alias("kind"), thousandths(score).alias("confidence"), thousandths(score).alias("margin"))).otherwise(mixture(scores))
+    score = lambda b: thousandths(F.least(F.lit(1.0), -b["n"] / 3.0))
+    return let(best, lambda b: F.when(-b["n"] >= least, F.struct(b["kind"].alias("kind"), score(b).alias("confidence"), score(b).alias("margin"))).otherwise(mixture(scores)))
 
 
 def credibility(bars: Column, percents: Column, boxes: Column, samples: Column, clusters: Column, cells: Column) -> Column:
